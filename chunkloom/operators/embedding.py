@@ -1,6 +1,6 @@
 """Text embeddings, by a caller's model or by hashed words."""
 
-from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
+from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,8 @@ def embed(chunks: DataFrame, model=None, dim: int = DEFAULT_DIM) -> DataFrame:
     if model is not None:
         return chunks.withColumn("embedding", model(F.col("text")).cast("array<double>"))
     # The tokenizer does not take null text.
-    words = Tokenizer(inputCol="_text", outputCol="_words").transform(
-        chunks.withColumn("_text", F.coalesce("text", F.lit("")))
-    )
+    filled = chunks.withColumn("_text", F.coalesce("text", F.lit("")))
+    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\s+").transform(filled)
     counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim).transform(words)
     scaled = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counts)
     return scaled.withColumn("embedding", vector_to_array("_unit")).drop(

@@ -5,7 +5,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chunkloom import fixed_values as fv
 from chunkloom.functions import text, vectors
@@ -16,16 +15,6 @@ HOT_ROWS = 200_000
 # At most this many videos can be hot, whatever the data, so their list can be broadcast.
 MAX_HOT = 100_000
 
-CENTROIDS = T.StructType(
-    [
-        T.StructField("video_id", T.StringType()),
-        T.StructField("n_rows", T.LongType()),
-        T.StructField("n_vectors", T.LongType()),
-        T.StructField("n_sizes", T.LongType()),
-        T.StructField("centroid", T.ArrayType(T.DoubleType())),
-    ]
-)
-
 
 def _with_vector(chunks: DataFrame, embedding: str) -> DataFrame:
     """Add the vector and its sum of squares, from which validity and length both follow."""
@@ -84,8 +73,9 @@ def stored_centroids(chunks: DataFrame, embedding: str) -> DataFrame:
     bring the summing back.
     """
     path = scratch_path(chunks.sparkSession, "centroids")
-    centroids(chunks, embedding).withColumn("video_id", F.col("video_id").cast("string")).write.parquet(path)
-    return chunks.sparkSession.read.schema(CENTROIDS).parquet(path)
+    table = centroids(chunks, embedding)
+    table.write.parquet(path)
+    return chunks.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def vector_rejects(table: DataFrame) -> DataFrame:

@@ -100,4 +100,4 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     """Summary table in either layout of `writers.write_summaries`; video ids stay text."""
-    return spark.read.schema(schemas.SUMMARIES).parquet(path)
+    return spark.read.schema(schemas.SUMMARIES).parquet(path).select(*schemas.SUMMARIES.fieldNames())
