@@ -12,9 +12,10 @@ _FIRST_SECOND, _END_SECOND = -62_135_596_800.0, 253_402_300_800.0
 
 def parse_compact_date(text: Column) -> Column:
     """'YYYYMMDD' (month and day may be one digit) to 'YYYY-MM-DD', null when not a date."""
-    part = [F.regexp_extract(text, fv.COMPACT_DATE, i) for i in (1, 2, 3)]
-    # No match leaves three empty parts, which is no date either.
-    return F.date_format(F.try_to_date(F.concat_ws("-", *part), "y-M-d"), "yyyy-MM-dd")
+    year, month, day = (F.regexp_extract(text, fv.COMPACT_DATE, i) for i in (1, 2, 3))
+    # No match leaves three empty parts, which is no date either; there is no year 0.
+    date = F.try_to_date(F.concat_ws("-", year, month, day))
+    return F.when(year != "0000", date.cast("string"))
 
 
 def has_calendar_time(seconds: Column) -> Column:

@@ -11,8 +11,13 @@ def distinct_listing(chunks: DataFrame) -> DataFrame:
 
 
 def latest_per_title(chunks: DataFrame) -> DataFrame:
-    """Latest date per video and title; a video with two titles gives two rows."""
-    return chunks.groupBy("video_id", "title").agg(F.max("upload_date").alias("upload_date"))
+    """Latest date per video and title; a video with two titles gives two rows.
+
+    The maximum is taken over dates: over text, Spark would have to sort the
+    chunks before grouping them.
+    """
+    latest = F.max(F.try_to_date("upload_date"))
+    return chunks.groupBy("video_id", "title").agg(latest.cast("string").alias("upload_date"))
 
 
 def with_summary(listing: DataFrame, summaries: DataFrame) -> DataFrame:

@@ -7,9 +7,14 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str, **settings) -> SparkSession:
-    """Session with adaptive execution on; anything the cluster sets stays as it is."""
+    """Session with the given settings; whatever else the cluster sets stays as it is.
+
+    Vector sums are kept in a hash map per task. Spark would turn to sorting the
+    vectors from the 129th video on; a few thousand sums still fit in memory.
+    """
     builder = SparkSession.builder.appName(app)
-    for key, value in settings.items():
+    defaults = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096"}
+    for key, value in (defaults | settings).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

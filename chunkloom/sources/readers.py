@@ -3,7 +3,7 @@
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,10 @@ def load_any(spark: SparkSession, path: str, schema: T.StructType | None = None)
     raise ValueError(f"unsupported format: {path}")
 
 
+def _video_id_of_file() -> Column:
+    return F.regexp_extract("_metadata.file_name", r"^(.*)_segments\.json$", 1).alias("video_id")
+
+
 def read_segment_files(spark: SparkSession, folder: str) -> DataFrame:
     """Segments of all `<video_id>_segments.json` files, each a JSON array.
 
@@ -62,12 +66,27 @@ def read_segment_files(spark: SparkSession, folder: str) -> DataFrame:
         .option("pathGlobFilter", "*_segments.json")
         .json(folder)
         .select(
-            F.regexp_extract("_metadata.file_name", r"^(.*)_segments\.json$", 1).alias("video_id"),
+            _video_id_of_file(),
             *schemas.SEGMENTS.fieldNames(),
         )
     )
 
 
+def malformed_segment_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(video_id, reject_reason) of segment files that are not JSON; `read_segment_files` yields only nulls for them."""
+    broken = T.StructField("_corrupt_record", T.StringType())
+    return (
+        spark.read.schema(T.StructType([*schemas.SEGMENTS.fields, broken]))
+        .option("multiLine", True)
+        .option("pathGlobFilter", "*_segments.json")
+        .json(folder)
+        .select(_video_id_of_file(), "id", "_corrupt_record")
+        .filter(F.col("_corrupt_record").isNotNull())
+        .select("video_id", F.lit("segment file is not valid JSON").alias("reject_reason"))
+        .distinct()
+    )
+
+
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """Segments as `writers.write_segments` stores them; video ids stay text."""
     schema = T.StructType([*schemas.SEGMENTS.fields, T.StructField("video_id", T.StringType())])
