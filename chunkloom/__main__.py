@@ -39,6 +39,7 @@ def build_chunks(spark, args) -> None:
         _source(spark, args.second_source),
         args.images,
         _model(args.model),
+        args.partitions,
     )
     writers.write_chunks(built.chunks, args.output)
     if args.rejects:
@@ -63,7 +64,8 @@ def export_chunks(spark, args) -> None:
 
 def summarise_chunks(spark, args) -> None:
     chunks = readers.load_any(spark, args.input)
-    writers.write_summaries(summarise.summarise_videos(chunks, args.top_k, _model(args.model)), args.output, args.buckets)
+    made = summarise.summarise_videos(chunks, args.top_k, _model(args.model), tasks=args.tasks)
+    writers.write_summaries(made, args.output, args.buckets)
 
 
 def _tables(spark, args):
@@ -96,14 +98,16 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option.replace('_', '-')}", default=default, type=kind)
         return sub
 
-    job("build", build_chunks, "listing", "segments", "images", "output",
-        phrases=None, first_source=None, second_source=None, model=None, rejects=None)
+    build_job = job("build", build_chunks, "listing", "segments", "images", "output",
+                    phrases=None, first_source=None, second_source=None, model=None, rejects=None)
+    build_job.add_argument("--partitions", type=int)
     export_job = job("export", export_chunks, "input", "copy-to",
                      jdbc_url=None, table="chatbot_data", driver=None, isolation="NONE")
     export_job.add_argument("--connections", type=int)
     export_job.add_argument("--skip-stored", action="store_true")
     summarise_job = job("summarise", summarise_chunks, "input", "output", model=None, top_k=fv.TOP_K)
     summarise_job.add_argument("--buckets", type=int)
+    summarise_job.add_argument("--tasks", type=int)
     job("recent", recent, "chunks", "summaries", as_of=None, n=fv.RECENT_LIMIT)
     job("search", search, "chunks", "summaries", q="", n=fv.CATALOGUE_LIMIT, collation=None)
     job("summary", summary, "summaries", "video-id")

@@ -36,30 +36,23 @@ def _normalise_literal(phrase: str) -> str:
     return "".join(ch for ch in phrase if ch.isalnum()).lower()
 
 
+def _contains_any(value: Column, words) -> Column:
+    """The value is bound to a lambda variable, as a filter would compute it anew for every word."""
+    if not words:
+        return F.lit(False)
+    words = F.lit(words)
+    return F.exists(F.array(value), lambda bound: F.exists(words, lambda word: F.contains(bound, word)))
+
+
 def has_stop_phrase(text: Column, phrases) -> Column:
     """True where any phrase occurs, as written (ignoring case) or after normalising both sides.
 
-    Each layer's text is computed once per row: it is bound to a lambda variable,
-    because a filter would otherwise repeat it for every phrase. The cheaper
-    layer comes first, so rows it drops never pay for the second one. A phrase
-    without letters or digits takes part in the first layer only.
+    The cheaper layer comes first, so rows it drops never pay for the second
+    one. A phrase without letters or digits takes part in the first layer only.
     """
     raw = sorted({p.lower() for p in phrases if p})
     bare = sorted({_normalise_literal(p) for p in phrases} - {""})
-
-    def any_in(value: Column, words) -> Column:
-        if not words:
-            return F.lit(False)
-
-        def test(bound: Column) -> Column:
-            hit = F.contains(bound, F.lit(words[0]))
-            for word in words[1:]:
-                hit = hit | F.contains(bound, F.lit(word))
-            return hit
-
-        return F.exists(F.array(value), test)
-
-    hit = any_in(F.lower(text), raw) | any_in(normalise(text), bare)
+    hit = _contains_any(F.lower(text), raw) | _contains_any(normalise(text), bare)
     return F.coalesce(hit, F.lit(False))
 
 

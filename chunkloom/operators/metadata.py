@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chunkloom import fixed_values as fv
 from chunkloom.functions import dates
+from chunkloom.session import stored
 
 
 def clean_listing(entries: DataFrame) -> DataFrame:
@@ -19,19 +20,17 @@ def clean_listing(entries: DataFrame) -> DataFrame:
     )
 
 
-def _one_per_video(source: DataFrame, prefix: str) -> DataFrame:
-    """Dated entries only, latest first, one per video, so that the repair join cannot fan out."""
-    found = F.max(F.struct("upload_date", "title"))
-    return (
-        source.filter(F.col("upload_date").isNotNull())
-        .groupBy(F.col("video_id"))
-        .agg(found.alias("found"))
-        .select(
-            "video_id",
-            F.col("found.upload_date").alias(f"{prefix}_date"),
-            F.col("found.title").alias(f"{prefix}_title"),
+def _found(first: DataFrame, second: DataFrame) -> DataFrame:
+    """One row per video: date and title from each source, the latest where a source has several."""
+
+    def dated(source: DataFrame, own: str, other: str) -> DataFrame:
+        entry = F.struct("upload_date", "title")
+        return source.filter(F.col("upload_date").isNotNull()).select(
+            "video_id", entry.alias(own), F.lit(None).cast("struct<upload_date:string,title:string>").alias(other)
         )
-    )
+
+    both = dated(first, "first", "second").unionByName(dated(second, "second", "first"))
+    return both.groupBy("video_id").agg(F.max("first").alias("first"), F.max("second").alias("second"))
 
 
 def repair(videos: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
@@ -39,23 +38,16 @@ def repair(videos: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
 
     All three frames hold (video_id, title, upload_date ISO). A source's title is
     taken only along with its date and only where the video has none. With no
-    date anywhere the old values stay. The two joins share the partitioning on
-    video_id, so the videos are shuffled at most once.
+    date anywhere the old values stay. Runs a job that brings the sources
+    together, so that the videos take part in one join only.
     """
     own = F.col("upload_date")
     needed = own.isNull() | (own == fv.SENTINEL_DATE)
-    use_first = needed & F.col("first_date").isNotNull()
-    use_second = needed & F.col("first_date").isNull() & F.col("second_date").isNotNull()
-    found_date = F.when(use_first, F.col("first_date")).when(use_second, F.col("second_date"))
-    found_title = F.when(use_first, F.col("first_title")).when(use_second, F.col("second_title"))
-    return (
-        videos.join(_one_per_video(first, "first"), "video_id", "left")
-        .join(_one_per_video(second, "second"), "video_id", "left")
-        .select(
-            "video_id",
-            F.coalesce(F.nullif("title", F.lit("")), found_title, F.lit("")).alias("title"),
-            F.coalesce(found_date, own).alias("upload_date"),
-        )
+    source = F.when(needed, F.coalesce("first", "second"))
+    return videos.join(stored(_found(first, second), "found"), "video_id", "left").select(
+        "video_id",
+        F.coalesce(F.nullif("title", F.lit("")), source["title"], F.lit("")).alias("title"),
+        F.coalesce(source["upload_date"], own).alias("upload_date"),
     )
 
 

@@ -4,14 +4,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from chunkloom.session import stored
+
 
 def _in_all(done: tuple[DataFrame, ...]) -> DataFrame:
     keys = [d.select("video_id") for d in done]
-    return reduce(lambda a, b: a.join(b, "video_id", "left_semi"), keys)
+    if len(keys) == 1:
+        return keys[0]
+    return stored(reduce(lambda a, b: a.join(b, "video_id", "left_semi"), keys), "done")
 
 
 def unprocessed(videos: DataFrame, *done: DataFrame) -> DataFrame:
-    """Videos missing from at least one of the outputs `done` (each with a video_id column)."""
+    """Videos missing from at least one of the outputs `done` (each with a video_id column).
+
+    Several outputs are brought together by a job first.
+    """
     return videos.join(_in_all(done), "video_id", "left_anti")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chunkloom import fixed_values as fv
 from chunkloom.functions import text, vectors
-from chunkloom.session import scratch_path
+from chunkloom.session import stored
 
 # A video with more chunks than this has its similarity join split into several tasks.
 HOT_ROWS = 200_000
@@ -25,27 +25,26 @@ def _with_vector(chunks: DataFrame, embedding: str) -> DataFrame:
 def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
     """One row per video: its number of rows, of valid vectors, of vector sizes, and the mean unit vector.
 
-    The null video id is a group like any other. The mean is the weighted sum of
-    the raw vectors, with weight 1/length, over their number. It is summed on the
-    map side first, so that a hot video sends one row per task. Vectors of
-    different size cannot be added and are kept apart by grouping on the size.
+    The null video id is a group like any other. Vectors are summed on the map
+    side first, so that a hot video sends one row per task, and as a whole rather
+    than element by element, which would multiply the rows by the vector size.
+    Vectors of different size cannot be added and are kept apart by grouping on it.
     """
     usable = vectors.is_usable(F.col("_v"), F.col("_sq"))
+    norm = vectors.clipped_norm(F.col("_sq"))
+    unit = F.transform("_v", lambda e: e.cast("double") / norm)
     prepared = (
         _with_vector(chunks.select("video_id", embedding), embedding)
-        .select("video_id", "_v", "_sq", usable.alias("_ok"))
+        .withColumn("_ok", usable)
         .select(
             "video_id",
             F.when(F.col("_ok"), F.size("_v")).otherwise(0).alias("_size"),
-            array_to_vector(F.when(F.col("_ok"), F.col("_v")).otherwise(F.array(F.lit(0.0)))).alias("_x"),
-            F.when(F.col("_ok") & (F.col("_sq") > 0), 1 / vectors.clipped_norm(F.col("_sq")))
-            .otherwise(1.0)
-            .alias("_weight"),
+            array_to_vector(F.when(F.col("_ok"), unit).otherwise(F.array(F.lit(0.0)))).alias("_unit"),
         )
     )
     by_size = (
         prepared.groupBy("video_id", "_size")
-        .agg(F.count("*").alias("n"), Summarizer.sum(F.col("_x"), F.col("_weight")).alias("total"))
+        .agg(F.count("*").alias("n"), Summarizer.sum(F.col("_unit")).alias("total"))
         .select(
             "video_id",
             "n",
@@ -66,16 +65,8 @@ def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
 
 
 def stored_centroids(chunks: DataFrame, embedding: str) -> DataFrame:
-    """Runs a job: writes the centroids to the shared scratch folder and reads them back.
-
-    The join that uses them then knows their true size, so that Spark broadcasts
-    them below its threshold and shuffles beyond, and a lost executor does not
-    bring the summing back.
-    """
-    path = scratch_path(chunks.sparkSession, "centroids")
-    table = centroids(chunks, embedding)
-    table.write.parquet(path)
-    return chunks.sparkSession.read.schema(table.schema).parquet(path)
+    """Runs a job: the centroids as a table of known size, see `session.stored`."""
+    return stored(centroids(chunks, embedding), "centroids")
 
 
 def vector_rejects(table: DataFrame) -> DataFrame:

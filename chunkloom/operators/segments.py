@@ -74,5 +74,17 @@ def attach_images(segments: DataFrame, images: DataFrame, folder: str) -> DataFr
     )
 
 
+def cluster_by_video(segments: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Chunks of a video side by side, in order, a large video over several partitions.
+
+    Later scans group by video: with this layout nearly all of the grouping is
+    done before their shuffle, and a filter on video_id skips most files. With a
+    number of `partitions`, just as many tasks run what follows.
+    """
+    key = ["video_id", "chunk_id"]
+    ranged = segments.repartitionByRange(*([partitions] if partitions else []), *key)
+    return ranged.sortWithinPartitions(*key)
+
+
 def count_segments(segments: DataFrame) -> DataFrame:
     return segments.groupBy("video_id").agg(F.count("*").alias("segments"))

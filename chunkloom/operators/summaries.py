@@ -7,18 +7,22 @@ from chunkloom import fixed_values as fv
 from chunkloom.functions import prompts, text, urls
 
 
-def summarise(contexts: DataFrame, model=None, **prompt) -> DataFrame:
+def summarise(contexts: DataFrame, model=None, tasks: int | None = None, **prompt) -> DataFrame:
     """(video_id, context) to (video_id, summary_text, video_url).
 
     `model` is a pandas UDF from prompt to generated text; `prompt` holds the
     arguments of `prompts.render`. Without a model the context itself is cut to
     its first sentences. Blank contexts get a fixed text; the model sees null for them.
+    `tasks` is the number of tasks that call the model: contexts are small, and
+    Spark would put many of them in one task.
     """
     context = F.col("context")
     blank = text.is_blank(context)
     if model is None:
         draft = context
     else:
+        if tasks is not None:
+            contexts = contexts.repartition(tasks)
         draft = model(F.when(~blank, prompts.render(context, **prompt)))
     drafted = contexts.withColumn("_draft", draft)
     # Generated text is cleaned when it comes back and once more before it is

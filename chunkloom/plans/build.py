@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chunkloom import schemas
 from chunkloom.operators import metadata, segments as seg
 from chunkloom.operators.embedding import embed
+from chunkloom.session import stored
 
 
 class Built(NamedTuple):
@@ -24,6 +25,7 @@ def build_chunks(
     second_source: DataFrame | None = None,
     image_folder: str = "chunk_images",
     model=None,
+    partitions: int | None = None,
 ) -> Built:
     """Chunk table and rejected segments.
 
@@ -31,16 +33,19 @@ def build_chunks(
     end, text; images: video_id, chunk_id. The sources (video_id, title,
     upload_date ISO) repair missing dates. Rows are filtered while they are
     still narrow: blank and stop-phrase texts go before any join, vectors are
-    computed last, after the final shuffle.
+    computed last, after the final shuffle, in `partitions` tasks if given.
+    Runs a job for the videos, which both results join.
     """
     videos = metadata.clean_listing(entries)
     if first_source is not None or second_source is not None:
         nothing = videos.filter(F.lit(False))
         videos = metadata.repair(videos, first_source or nothing, second_source or nothing)
+    videos = stored(videos, "videos")
     kept = seg.drop_stop_phrases(seg.strip_and_drop_blank(segments), phrases)
     typed = seg.type_columns(kept)
     joined = seg.attach_videos(seg.accepted(typed), videos)
     chunks = seg.attach_images(seg.derive_times(joined), images, image_folder)
+    chunks = seg.cluster_by_video(chunks, partitions)
     known_videos = videos.select("video_id")
     rejects = seg.rejected(typed).join(known_videos, "video_id", "left_semi")
     return Built(schemas.conform(embed(chunks, model), schemas.CHUNKS), rejects)

@@ -13,7 +13,7 @@ def export_chunks(
     The append reads the copy, so source and database agree even if the source
     changes in between. `skip_stored` leaves out chunks the database already has.
     """
-    writers.relocate(readers.read_chunks(spark, path), uri)
+    writers.relocate(spark.read.parquet(path), uri)
     if jdbc is None:
         return
     chunks = readers.read_chunks(spark, uri)

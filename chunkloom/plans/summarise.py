@@ -9,15 +9,21 @@ from chunkloom.operators.summaries import summarise
 
 
 def summarise_videos(
-    chunks: DataFrame, top_k: int = fv.TOP_K, model=None, table: DataFrame | None = None, **prompt
+    chunks: DataFrame,
+    top_k: int = fv.TOP_K,
+    model=None,
+    table: DataFrame | None = None,
+    tasks: int | None = None,
+    **prompt,
 ) -> DataFrame:
     """(video_id, summary_text, video_url), one row per video.
 
     `chunks` needs video_id, chunk_id and text, and may hold a vector column
     named embedding, emb, vector or embeddings. With one, and no `table` of
-    centroids given, this runs the job of `retrieval.stored_centroids`.
+    centroids given, this runs the job of `retrieval.stored_centroids`. For `model`,
+    `tasks` and `prompt` see `operators.summaries.summarise`.
     """
     schemas.require_columns(chunks, fv.REQUIRED_COLUMNS)
     embedding = schemas.first_present(chunks, fv.EMBEDDING_NAMES)
     picked = retrieval.top_chunks(chunks, top_k, embedding, table)
-    return summarise(retrieval.contexts(picked), model, **prompt)
+    return summarise(retrieval.contexts(picked), model, tasks, **prompt)

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, **settings) -> SparkSession:
@@ -31,3 +31,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="chunkloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Runs a job: writes `df` to a scratch folder and reads it back.
+
+    A join with the result knows its true size, so that Spark broadcasts it below
+    its threshold and shuffles beyond. It can also split a hot key at run time,
+    which it does not on top of another grouping or join by the same key. And a
+    lost executor does not bring the work before it back.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkloom import schemas
+from chunkloom.session import stored
 
 
 def write_segments(segments: DataFrame, path: str) -> None:
@@ -50,19 +51,22 @@ def write_summaries(summaries: DataFrame, path: str, buckets: int | None = None)
         return
     number = F.pmod(F.xxhash64("video_id"), F.lit(buckets)).cast("int")
     fresh = fresh.withColumn("bucket", number)
-    stored = _existing_buckets(
-        fresh, path, T.StructType([*schemas.SUMMARIES.fields, T.StructField("bucket", T.IntegerType())])
-    )
+    schema = T.StructType([*schemas.SUMMARIES.fields, T.StructField("bucket", T.IntegerType())])
+    existing = _existing_buckets(fresh, path, schema)
     rows = fresh
-    if stored is not None:
+    if existing is not None:
+        # The new rows are used three times; kept in a table, no summary is made twice.
+        fresh = stored(fresh, "summaries")
         touched = fresh.select("bucket").distinct()
-        others = stored.join(F.broadcast(touched), "bucket", "left_semi").join(
+        others = existing.join(F.broadcast(touched), "bucket", "left_semi").join(
             fresh.select(F.col("video_id").alias("_new")),
             F.col("video_id").eqNullSafe(F.col("_new")),
             "left_anti",
         )
         rows = fresh.unionByName(others)
-    _replace_partitions(rows.repartition("bucket"), path, "bucket")
+    # Sorted, so that a lookup by id skips most of each file.
+    sorted_rows = rows.repartition("bucket").sortWithinPartitions("bucket", "video_id")
+    _replace_partitions(sorted_rows, path, "bucket")
 
 
 def _replace_partitions(rows: DataFrame, path: str, column: str) -> None:

@@ -1,0 +1,150 @@
+"""Listing, repair, segments and the work still to do."""
+
+from pyspark.sql import functions as F
+
+from chunkloom.operators import embedding, metadata, pending, segments
+from chunkloom.plans.build import build_chunks
+from chunkloom import schemas
+from tests.helpers import plan, rows
+
+VIDEO = "video_id string, title string, upload_date string"
+
+
+def test_clean_listing(spark):
+    entries = spark.createDataFrame(
+        [(None, "x", "20250101"), ("", "x", "20250101"), ("a", None, "2025711"), ("b", "t", "bad"), ("c", "t", None)],
+        "id string, title string, upload_date string",
+    )
+    assert rows(metadata.clean_listing(entries)) == [("a", "", "2025-07-11"), ("b", "t", None), ("c", "t", None)]
+
+
+def test_repair(spark):
+    videos = spark.createDataFrame(
+        [
+            ("own", "", "2024-01-01"),
+            ("a", "", None),
+            ("b", "", "2000-01-01"),
+            ("none", "", "2000-01-01"),
+            ("titled", "mine", None),
+            ("no date", "", None),
+            ("both", None, None),
+        ],
+        VIDEO,
+    )
+    first = spark.createDataFrame(
+        [("own", "A", "2023-01-01"), ("a", "A", "2023-01-01"), ("b", "A", None), ("titled", "A", "2023-01-01"),
+         ("no date", "A", None), ("both", None, "2023-02-02"), ("a", "Z", "2022-01-01")],
+        VIDEO,
+    )
+    second = spark.createDataFrame([("b", "B", "2021-01-01"), ("both", "B", "2021-01-01")], VIDEO)
+    assert rows(metadata.repair(videos, first, second)) == sorted(
+        [
+            ("own", "", "2024-01-01"),
+            ("a", "A", "2023-01-01"),
+            ("b", "B", "2021-01-01"),
+            ("none", "", "2000-01-01"),
+            ("titled", "mine", "2023-01-01"),
+            ("no date", "", None),
+            ("both", "", "2023-02-02"),
+        ],
+        key=repr,
+    )
+
+
+SEGMENT = "video_id string, id string, start string, end string, text string"
+
+
+def test_types_and_rejects(spark):
+    frame = spark.createDataFrame(
+        [
+            ("v", "1", "0", "1.5", "ok"),
+            ("v", "x", "0", "1", "bad id"),
+            ("v", None, "0", "1", "no id"),
+            ("v", "2", None, "1", "no start"),
+            ("v", "3", "soon", "1", "bad start"),
+            ("v", "4", "0", "Infinity", "bad end"),
+            ("v", "99999999999", "0", "1", "big id"),
+        ],
+        SEGMENT,
+    )
+    typed = segments.type_columns(frame)
+    assert rows(segments.accepted(typed)) == [("v", "ok", 1, 0.0, 1.5)]
+    assert sorted(r.text for r in segments.rejected(typed).collect()) == [
+        "bad end", "bad id", "bad start", "big id", "no id", "no start"
+    ]
+
+
+def test_attach_images_keeps_all_chunks_once(spark):
+    chunks = spark.createDataFrame([("v", 1), ("v", 2)], "video_id string, chunk_id int")
+    images = spark.createDataFrame([("v", 1), ("v", 1), ("w", 9)], "video_id string, chunk_id int")
+    assert rows(segments.attach_images(chunks, images, "d")) == [("v", 1, "d/v/1.jpg"), ("v", 2, None)]
+
+
+def test_pending(spark):
+    videos = spark.createDataFrame([("a",), ("b",), ("c",)], "video_id string")
+    texts = spark.createDataFrame([("a",), ("b",), ("a",)], "video_id string")
+    files = spark.createDataFrame([("a",), ("c",)], "video_id string")
+    assert rows(pending.unprocessed(videos, texts, files)) == [("b",), ("c",)]
+    assert rows(pending.reusable(videos, texts, files)) == [("a",)]
+
+
+def test_embed_with_model(spark):
+    @F.pandas_udf("array<double>")
+    def model(texts):
+        return texts.map(lambda t: [float(len(t))])
+
+    frame = spark.createDataFrame([("ab",), ("abc",)], "text string")
+    assert rows(embedding.embed(frame, model)) == [("ab", [2.0]), ("abc", [3.0])]
+
+
+def test_default_embedding(spark):
+    frame = spark.createDataFrame([("A b",), ("a  B ",), ("",), (None,), ("c",)], "text string")
+    got = {r.text: r.embedding for r in embedding.embed(frame, dim=64).collect()}
+    assert got["A b"] == got["a  B "] != got["c"]
+    assert got[""] == got[None] == [0.0] * 64
+
+
+def build(spark, phrases=("stop here",), **options):
+    entries = spark.createDataFrame(
+        [("v", "T", "20250711"), ("w", None, None), ("empty", "E", "20250711")],
+        "id string, title string, upload_date string",
+    )
+    parts = spark.createDataFrame(
+        [
+            ("v", "0", "0.0", "5.5", "  first　"),
+            ("v", "1", "5.5", "3661.0000004", "STOP, here now"),
+            ("v", "2", "86400.25", "86401", "wrap"),
+            ("v", "3", "0", "1", "　 "),
+            ("v", "4", "0", "1", None),
+            ("v", "bad", "0", "1", "rejected"),
+            ("w", "0", "1", "2", "other"),
+            ("unknown", "0", "1", "2", "no such video"),
+            ("unknown", "x", "1", "2", "no such video"),
+        ],
+        SEGMENT,
+    )
+    images = spark.createDataFrame([("v", 2), ("w", 7)], "video_id string, chunk_id int")
+    return build_chunks(entries, parts, images, phrases, image_folder="img", **options)
+
+
+def test_build_chunks(spark):
+    chunks, rejects = build(spark)
+    assert chunks.schema.fieldNames() == schemas.CHUNKS.fieldNames()
+    assert [f.dataType for f in chunks.schema] == [f.dataType for f in schemas.CHUNKS]
+    assert rows(chunks.drop("embedding")) == [
+        ("v", "T", "2025-07-11", 0, "00:00:00", "00:00:05.500000", "first", None),
+        ("v", "T", "2025-07-11", 2, "00:00:00.250000", "00:00:01", "wrap", "img/v/2.jpg"),
+        ("w", "", None, 0, "00:00:01", "00:00:02", "other", None),
+    ]
+    assert [(r.video_id, r.text) for r in rejects.collect()] == [("v", "rejected")]
+
+
+def test_build_chunks_with_one_source(spark):
+    source = spark.createDataFrame([("w", "found", "2020-02-02")], VIDEO)
+    chunks, _ = build(spark, phrases=(), second_source=source)
+    assert ("w", "found", "2020-02-02") in rows(chunks.select("video_id", "title", "upload_date"))
+    assert chunks.count() == 4
+
+
+def test_build_has_no_python_without_model(spark):
+    assert "EvalPython" not in plan(build(spark).chunks)
