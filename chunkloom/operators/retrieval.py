@@ -2,12 +2,12 @@
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chunkloom import fixed_values as fv
-from chunkloom.functions import text, vectors
+from chunkloom.functions import batches, text, vectors
 from chunkloom.session import stored
 
 # A video with more chunks than this has its similarity join split into several tasks.
@@ -16,40 +16,36 @@ HOT_ROWS = 200_000
 MAX_HOT = 100_000
 
 
-def _with_vector(chunks: DataFrame, embedding: str) -> DataFrame:
-    """Add the vector and its sum of squares, from which validity and length both follow."""
-    with_vector = chunks.withColumn("_v", vectors.as_array(chunks, embedding))
-    return with_vector.withColumn("_sq", vectors.squared_norm(F.col("_v")))
-
-
 def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
     """One row per video: its number of rows, of valid vectors, of vector sizes, and the mean unit vector.
 
-    The null video id is a group like any other. Vectors are summed on the map
-    side first, so that a hot video sends one row per task, and as a whole rather
-    than element by element, which would multiply the rows by the vector size.
-    Vectors of different size cannot be added and are kept apart by grouping on it.
+    The null video id is a group like any other. Vectors are summed per batch and
+    per task first, so that a hot video sends one row per task, and as a whole
+    rather than element by element, which would multiply the rows by the vector
+    size. Vectors of different size cannot be added and are kept apart by
+    grouping on it.
     """
-    usable = vectors.is_usable(F.col("_v"), F.col("_sq"))
-    norm = vectors.clipped_norm(F.col("_sq"))
-    unit = F.transform("_v", lambda e: e.cast("double") / norm)
-    prepared = (
-        _with_vector(chunks.select("video_id", embedding), embedding)
-        .withColumn("_ok", usable)
-        .select(
-            "video_id",
-            F.when(F.col("_ok"), F.size("_v")).otherwise(0).alias("_size"),
-            array_to_vector(F.when(F.col("_ok"), unit).otherwise(F.array(F.lit(0.0)))).alias("_unit"),
-        )
+    vector = vectors.as_array(chunks, embedding).alias("vector")
+    keyed = chunks.select("video_id", vector)
+    partial = T.StructType(
+        [
+            keyed.schema["video_id"],
+            T.StructField("size", T.IntegerType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("total", T.ArrayType(T.DoubleType())),
+        ]
     )
+    # Rows without a vector have size 0 and are given a total that is not used.
+    total = array_to_vector(F.coalesce("total", F.array(F.lit(0.0))))
     by_size = (
-        prepared.groupBy("video_id", "_size")
-        .agg(F.count("*").alias("n"), Summarizer.sum(F.col("_unit")).alias("total"))
+        keyed.mapInArrow(batches.partial_sums, partial)
+        .groupBy("video_id", "size")
+        .agg(F.sum("n").alias("n"), Summarizer.sum(total).alias("total"))
         .select(
             "video_id",
             "n",
-            F.when(F.col("_size") > 0, F.col("n")).otherwise(0).alias("n_valid"),
-            F.when(F.col("_size") > 0, vector_to_array("total")).alias("total"),
+            F.when(F.col("size") > 0, F.col("n")).otherwise(0).alias("n_valid"),
+            F.when(F.col("size") > 0, vector_to_array("total")).alias("total"),
         )
     )
     per_video = by_size.groupBy("video_id").agg(
@@ -113,16 +109,10 @@ def similarities(
     chunks: DataFrame, table: DataFrame, embedding: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
 ) -> DataFrame:
     """(video_id, chunk_id, text, n_sizes, sim): unit vector times centroid, null without a valid vector."""
-    prepared = _with_vector(chunks.select("video_id", "chunk_id", "text", embedding), embedding)
-    joined = _join_centroids(prepared.select("video_id", "chunk_id", "text", "_v", "_sq"), table, hot_rows, max_hot)
-    sim = vectors.dot(F.col("_v"), F.col("centroid")) / vectors.clipped_norm(F.col("_sq"))
-    return joined.select(
-        "video_id",
-        "chunk_id",
-        "text",
-        "n_sizes",
-        F.when(vectors.is_usable(F.col("_v"), F.col("_sq")), sim).alias("sim"),
-    )
+    vector = vectors.as_array(chunks, embedding).alias("vector")
+    joined = _join_centroids(chunks.select("video_id", "chunk_id", "text", vector), table, hot_rows, max_hot)
+    sim = batches.cosine_to(F.col("vector"), F.col("centroid"))
+    return joined.select("video_id", "chunk_id", "text", "n_sizes", sim.alias("sim"))
 
 
 def _first_k(scored: DataFrame, k: int) -> DataFrame:

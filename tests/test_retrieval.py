@@ -137,5 +137,5 @@ def test_sorted_nulls_last(spark):
 def test_plan_limits_before_the_shuffle(spark, data):
     text = plan(retrieval.top_chunks(spark.createDataFrame(data, SCHEMA), 12, "embedding"))
     assert text.count("WindowGroupLimit") >= 2
-    assert "EvalPython" not in text
+    assert "BatchEvalPython" not in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text

@@ -117,11 +117,11 @@ def test_export_without_database(spark, tmp_path):
 
 
 def test_database_options():
-    assert database.write_options("jdbc:x", "t", user="u", isolation="READ_COMMITTED", connections=4) == {
+    assert database.write_options("jdbc:x", "t", user="u", isolation="NONE", connections=4) == {
         "url": "jdbc:x", "dbtable": "t", "user": "u", "batchsize": "1000",
-        "isolationLevel": "READ_COMMITTED", "numPartitions": "4",
+        "isolationLevel": "NONE", "numPartitions": "4",
     }
-    assert database.write_options("jdbc:x", "t")["isolationLevel"] == "NONE"
+    assert database.write_options("jdbc:x", "t")["isolationLevel"] == "READ_COMMITTED"
 
 
 def test_scratch_path_follows_the_session(spark):
