@@ -102,7 +102,7 @@ def _parser() -> argparse.ArgumentParser:
                     phrases=None, first_source=None, second_source=None, model=None, rejects=None)
     build_job.add_argument("--partitions", type=int)
     export_job = job("export", export_chunks, "input", "copy-to",
-                     jdbc_url=None, table="chatbot_data", driver=None, isolation="READ_COMMITTED")
+                     jdbc_url=None, table="chunks", driver=None, isolation="READ_COMMITTED")
     export_job.add_argument("--connections", type=int)
     export_job.add_argument("--skip-stored", action="store_true")
     summarise_job = job("summarise", summarise_chunks, "input", "output", model=None, top_k=fv.TOP_K)

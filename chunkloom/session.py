@@ -10,10 +10,15 @@ def build_session(app: str, **settings) -> SparkSession:
     """Session with the given settings; whatever else the cluster sets stays as it is.
 
     Vector sums are kept in a hash map per task. Spark would turn to sorting the
-    vectors from the 129th video on; a few thousand sums still fit in memory.
+    vectors from the 129th video on; a few thousand sums still fit in memory. A
+    join hashes its smaller side where each part of it is small, and need not
+    sort the vectors of the other.
     """
     builder = SparkSession.builder.appName(app)
-    defaults = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096"}
+    defaults = {
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    }
     for key, value in (defaults | settings).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

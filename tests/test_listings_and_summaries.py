@@ -125,6 +125,17 @@ def test_summarise_videos(spark):
     ]
 
 
+def test_summarise_videos_with_model(spark):
+    @F.pandas_udf("string")
+    def model(prompts: pd.Series) -> pd.Series:
+        return prompts.map(lambda p: f"{len(p)} characters. Done.")
+
+    chunks = spark.createDataFrame([("v", 1, "One.", None), ("w", 1, "Two!", None)], CHUNKS)
+    made = summarise_videos(chunks, model=model, tasks=2, system="", instruction="")
+    text = f"{len('SYSTEM: \nUSER: One.')} characters. Done."
+    assert rows(made) == [("v", text, "https://youtu.be/v"), ("w", text, "https://youtu.be/w")]
+
+
 def test_summarise_needs_its_columns(spark):
     with pytest.raises(ValueError, match="chunk_id"):
         summarise_videos(spark.createDataFrame([("v", "t")], "video_id string, text string"))

@@ -77,6 +77,39 @@ def test_shuffled_join_with_hot_videos(spark, data, no_broadcast):
     assert keys(picked) == brute_force(data, 12)
 
 
+def test_shuffled_join_without_sorting_vectors(spark, data, no_broadcast):
+    chunks = spark.createDataFrame(data, SCHEMA)
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    spark.conf.set(name, "128m")
+    try:
+        picked = retrieval.top_chunks(chunks, 12, "embedding", hot_rows=40)
+        assert keys(picked) == brute_force(data, 12)
+        assert "ShuffledHashJoin" in plan(picked).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset(name)
+
+
+def test_one_shuffle_from_scores_to_contexts(spark, data):
+    chunks = spark.createDataFrame(data, SCHEMA)
+    found = plan(retrieval.contexts(retrieval.top_chunks(chunks, 12, "embedding")))
+    assert found.count("Arguments: hashpartitioning") == 1
+
+
+def test_arrow_batches_cut_anywhere(spark, data):
+    chunks = spark.createDataFrame(data, SCHEMA)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")
+    try:
+        assert keys(retrieval.top_chunks(chunks, 12, "embedding")) == brute_force(data, 12)
+    finally:
+        spark.conf.unset(name)
+
+
+def test_whole_number_vectors_and_keys(spark):
+    chunks = spark.sql("select id % 2 video_id, cast(id as int) chunk_id, '' text, array(id, 1) emb from range(6)")
+    assert keys(retrieval.top_chunks(chunks, 2, "emb")) == [(0, 2), (0, 4), (1, 3), (1, 5)]
+
+
 def test_hot_list_stays_bounded(spark, data):
     chunks = spark.createDataFrame(data, SCHEMA)
     table = retrieval.stored_centroids(chunks, "embedding")
