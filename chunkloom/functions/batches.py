@@ -42,13 +42,16 @@ class _Rows:
         return flat.astype(np.float64, copy=False)
 
 
-def _blocks(lengths: np.ndarray):
+def _by_length(lengths: np.ndarray):
     """(length, row numbers in ascending order) for all rows that are not empty."""
     for length in np.unique(lengths[lengths > 0]):
-        rows = np.flatnonzero(lengths == length)
-        step = max(1, _BLOCK_ELEMENTS // int(length))
-        for first in range(0, len(rows), step):
-            yield int(length), rows[first : first + step]
+        yield int(length), np.flatnonzero(lengths == length)
+
+
+def _blocks(rows: np.ndarray, length: int):
+    step = max(1, _BLOCK_ELEMENTS // length)
+    for first in range(0, len(rows), step):
+        yield slice(first, first + step)
 
 
 def _norms(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,29 +61,14 @@ def _norms(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.isfinite(squares), np.clip(np.sqrt(squares), MIN_NORM, None)
 
 
-class _Totals:
-    """Sums of rows by code, for vectors of one length."""
-
-    def __init__(self, groups: int, length: int):
-        self.counts = np.zeros(groups, dtype=np.int64)
-        self._place = np.full(groups, -1)
-        self._sums = np.zeros((0, length))
-
-    def add(self, codes: np.ndarray, matrix: np.ndarray) -> None:
-        if (codes[1:] < codes[:-1]).any():
-            order = np.argsort(codes, kind="stable")
-            codes, matrix = codes[order], matrix[order]
-        distinct, starts, counts = np.unique(codes, return_index=True, return_counts=True)
-        new = distinct[self._place[distinct] < 0]
-        if len(new):
-            self._place[new] = len(self._sums) + np.arange(len(new))
-            self._sums = np.vstack([self._sums, np.zeros((len(new), matrix.shape[1]))])
-        self._sums[self._place[distinct]] += np.add.reduceat(matrix, starts, axis=0)
-        self.counts[distinct] += counts
-
-    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        distinct = np.flatnonzero(self.counts)
-        return distinct, self.counts[distinct], self._sums[self._place[distinct]]
+def _add_rows(sums: np.ndarray, counts: np.ndarray, places: np.ndarray, matrix: np.ndarray) -> None:
+    """Add each row of the matrix to the sum at its place."""
+    if (places[1:] < places[:-1]).any():
+        order = np.argsort(places, kind="stable")
+        places, matrix = places[order], matrix[order]
+    distinct, starts, n = np.unique(places, return_index=True, return_counts=True)
+    sums[distinct] += np.add.reduceat(matrix, starts, axis=0)
+    counts[distinct] += n
 
 
 def partial_sums(batches):
@@ -91,23 +79,22 @@ def partial_sums(batches):
     for batch in batches:
         videos = batch.column(0).dictionary_encode(null_encoding="encode")
         codes = videos.indices.to_numpy(zero_copy_only=False)
-        rows = _Rows(batch.column(1))
+        vectors = _Rows(batch.column(1))
         unusable = np.ones(len(codes), dtype=bool)
-        totals = {}
-        for length, index in _blocks(rows.lengths):
-            matrix = rows.matrix(index, length)
-            finite, norms = _norms(matrix)
-            if not finite.all():
-                index, matrix, norms = index[finite], matrix[finite], norms[finite]
-            if len(index):
-                if length not in totals:
-                    totals[length] = _Totals(len(videos.dictionary), length)
-                totals[length].add(codes[index], matrix / norms[:, None])
-                unusable[index] = False
-        for length, total in totals.items():
-            distinct, counts, sums = total.result()
-            offsets = np.arange(len(distinct) + 1, dtype=np.int32) * length
-            yield _sums(videos, distinct, length, counts, pa.ListArray.from_arrays(offsets, sums.ravel()))
+        for length, rows in _by_length(vectors.lengths):
+            distinct, places = np.unique(codes[rows], return_inverse=True)
+            sums, counts = np.zeros((len(distinct), length)), np.zeros(len(distinct), dtype=np.int64)
+            for block in _blocks(rows, length):
+                matrix = vectors.matrix(rows[block], length)
+                finite, norms = _norms(matrix)
+                if finite.any():
+                    unit = matrix[finite] / norms[finite, None]
+                    _add_rows(sums, counts, places[block][finite], unit)
+                    unusable[rows[block][finite]] = False
+            summed = counts > 0
+            offsets = np.arange(summed.sum() + 1, dtype=np.int32) * length
+            totals = pa.ListArray.from_arrays(offsets, sums[summed].ravel())
+            yield _sums(videos, distinct[summed], length, counts[summed], totals)
         if unusable.any():
             distinct, counts = np.unique(codes[unusable], return_counts=True)
             yield _sums(videos, distinct, 0, counts, pa.nulls(len(distinct), pa.list_(pa.float64())))
@@ -131,10 +118,12 @@ def cosine_to(vector: pa.Array, centroid: pa.Array) -> pa.Array:
     left, right = _Rows(vector), _Rows(centroid)
     result = np.zeros(len(vector))
     known = np.zeros(len(vector), dtype=bool)
-    for length, index in _blocks(np.where(left.lengths == right.lengths, left.lengths, 0)):
-        matrix = left.matrix(index, length)
-        finite, norms = _norms(matrix)
-        with np.errstate(over="ignore", invalid="ignore"):
-            result[index] = np.einsum("ij,ij->i", matrix, right.matrix(index, length)) / norms
-        known[index] = finite
+    for length, rows in _by_length(np.where(left.lengths == right.lengths, left.lengths, 0)):
+        for block in _blocks(rows, length):
+            at = rows[block]
+            matrix = left.matrix(at, length)
+            finite, norms = _norms(matrix)
+            with np.errstate(over="ignore", invalid="ignore"):
+                result[at] = np.einsum("ij,ij->i", matrix, right.matrix(at, length)) / norms
+            known[at] = finite
     return pa.array(result, mask=~known)
