@@ -13,7 +13,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_agrees_with_sql(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     assert compare(df, con, entry.oracle_sql()[name]) == ""
