@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from chunkloom.llm import topk
+from chunkloom.llm import decontamination, topk
 from chunkloom.llm.tables import read
 
 
@@ -21,7 +21,41 @@ select query_id, row_number() over (partition by query_id order by score desc, v
 from scored qualify rank <= 10
 """
 
+def op8_decontamination(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, read(spark, folder, "benchmark"), window=10)
+    hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, x: n + x.end - x.start)
+    ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP8_SQL = f"""
+with i as (select item_id, {WORDS} as w from benchmark where text is not null),
+iw as (select distinct item_id, least(10, len(w)) as m, array_to_string(w[s:s + least(10, len(w)) - 1], ' ') as g
+  from (select item_id, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) as s from i where len(w) > 0)),
+d as (select doc_id, {WORDS} as w from documents),
+dg as (select doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') as g
+  from (select doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) as s from d, (select distinct m from iw))),
+found as (select doc_id, item_id, s, m from dg join iw using (m, g)),
+hit as (select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(generate_series(s, s + m - 1)) as p from found) group by doc_id),
+ids as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct doc_id, item_id from found) group by doc_id)
+select doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+from d left join hit using (doc_id) left join ids using (doc_id)
+"""
+
 PAIRS = {
+    "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op4_exact_topk": (op4_exact_topk, OP4_SQL),
 }
 

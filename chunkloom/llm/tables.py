@@ -30,3 +30,34 @@ def fold(column: str, parts: int) -> Column:
 
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, math.ceil(rows / per_block))
+
+
+def runs(sizes, most: int):
+    """Cuts rows of the given sizes into runs of at most `most` together, or one row: (from, to)."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > most:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if len(sizes) > start:
+        yield start, len(sizes)
+
+
+def text_runs(batch, column: str, most: int):
+    """A record batch with a text or binary column, cut into (rows, texts as bytes or None) of bounded size."""
+    import pyarrow as pa
+
+    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+    sizes = [len(x) if x is not None else 0 for x in texts.to_pylist()] if len(texts) else []
+    for start, end in runs(sizes, most):
+        yield batch.slice(start, end - start), texts.slice(start, end - start).to_pylist()
+
+
+def with_columns(batch, **columns):
+    """The record batch with columns added at its end."""
+    import pyarrow as pa
+
+    for name, values in columns.items():
+        batch = batch.append_column(name, values if isinstance(values, pa.Array) else pa.array(values))
+    return batch
