@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from chunkloom.llm import decontamination, topk
-from chunkloom.llm.tables import read
+from chunkloom.llm import decontamination, topk, toxicity
+from chunkloom.llm.tables import fold, read
 
 
 def op4_exact_topk(spark, folder):
@@ -54,7 +54,21 @@ select doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(n_hit, 0)::bigin
 from d left join hit using (doc_id) left join ids using (doc_id)
 """
 
+def op10_toxicity(spark, folder):
+    docs = read(spark, folder, "documents")
+    model = toxicity.train(docs, read(spark, folder, "labels").filter(fold("doc_id", 3) != 1))
+    scored = toxicity.classify(docs.select("doc_id", "text", "lang"), model)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        (F.col("score") >= F.col("threshold")).cast("int").alias("predicted_by_lang"),
+    )
+
+
 PAIRS = {
+    "op10_toxicity": (op10_toxicity, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op4_exact_topk": (op4_exact_topk, OP4_SQL),
 }
