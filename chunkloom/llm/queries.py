@@ -1,11 +1,21 @@
 """The queries of this package over the driver tables, and the SQL of those that SQL can express."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import decontamination, topk, toxicity
+from chunkloom.llm import bpe, decontamination, topk, toxicity
 from chunkloom.llm.tables import fold, read
 
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_bpe(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    return bpe.digests(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)).drop("text")
+
+
 def op4_exact_topk(spark, folder):
     return topk.exact_top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -68,6 +78,7 @@ def op10_toxicity(spark, folder):
 
 
 PAIRS = {
+    "op1_bpe": (op1_bpe, None),
     "op10_toxicity": (op10_toxicity, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op4_exact_topk": (op4_exact_topk, OP4_SQL),
