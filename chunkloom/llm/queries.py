@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import bpe, decontamination, topk, toxicity
+from chunkloom.llm import bpe, decontamination, sharding, topk, toxicity
 from chunkloom.llm.tables import fold, read
 
 
@@ -31,6 +31,10 @@ select query_id, row_number() over (partition by query_id order by score desc, v
 from scored qualify rank <= 10
 """
 
+def op5_sharding(spark, folder):
+    return sharding.assign(read(spark, folder, "documents").select("doc_id", "text"), shards=40)
+
+
 def op8_decontamination(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.find(docs, read(spark, folder, "benchmark"), window=10)
@@ -78,6 +82,7 @@ def op10_toxicity(spark, folder):
 
 
 PAIRS = {
+    "op5_sharding": (op5_sharding, None),
     "op1_bpe": (op1_bpe, None),
     "op10_toxicity": (op10_toxicity, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
