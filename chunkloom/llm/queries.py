@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import bpe, decontamination, sharding, topk, toxicity
+from chunkloom.llm import bpe, decontamination, line_dedup, sharding, topk, toxicity
 from chunkloom.llm.tables import fold, read
 
 
@@ -68,6 +68,35 @@ select doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(n_hit, 0)::bigin
 from d left join hit using (doc_id) left join ids using (doc_id)
 """
 
+def op9_line_dedup(spark, folder):
+    done = line_dedup.dedup(read(spark, folder, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.size("removed").cast("bigint").alias("n_chunks"),
+        F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+OP9_SQL = """
+with d as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
+l as (select doc_id, i - 1 as i, ls[i] as line, ('0x' || left(md5(ls[i]), 8))::bigint as h, len(ls) as n
+  from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from d)),
+b as (select *, (i = n - 1 or (h * 1000003 + coalesce(lag(h) over (partition by doc_id order by i), 0)) % 2147483647 % 3 = 0)::int as ends
+  from l),
+c as (select *, coalesce(sum(ends) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as chunk from b),
+k as (select doc_id, chunk, min(i) as start, count(*) as lines, string_agg(line, chr(10) order by i) as text
+  from c group by doc_id, chunk having count(*) >= 2 and count(*) filter (trim(line) <> '') >= 2),
+r as (select doc_id, chunk, lines from k qualify row_number() over (partition by text order by doc_id, start) > 1),
+kept as (select c.doc_id, string_agg(line, chr(10) order by i) as text from c anti join r using (doc_id, chunk) group by c.doc_id)
+select documents.doc_id, coalesce(len(ls), 0)::bigint as n_lines, coalesce(gone.lines, 0)::bigint as n_removed,
+  coalesce(gone.chunks, 0)::bigint as n_chunks, sha256(coalesce(kept.text, '')) as kept_sha256
+from documents left join d using (doc_id) left join kept using (doc_id)
+  left join (select doc_id, sum(lines) as lines, count(*) as chunks from r group by doc_id) gone using (doc_id)
+"""
+
+
 def op10_toxicity(spark, folder):
     docs = read(spark, folder, "documents")
     model = toxicity.train(docs, read(spark, folder, "labels").filter(fold("doc_id", 3) != 1))
@@ -82,6 +111,7 @@ def op10_toxicity(spark, folder):
 
 
 PAIRS = {
+    "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op5_sharding": (op5_sharding, None),
     "op1_bpe": (op1_bpe, None),
     "op10_toxicity": (op10_toxicity, None),
