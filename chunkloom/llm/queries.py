@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import bpe, decontamination, line_dedup, sharding, topk, toxicity
+from chunkloom.llm import bpe, decontamination, licenses, line_dedup, sharding, topk, toxicity
 from chunkloom.llm.tables import fold, read
 
 
@@ -35,6 +35,17 @@ def op5_sharding(spark, folder):
     return sharding.assign(read(spark, folder, "documents").select("doc_id", "text"), shards=40)
 
 
+def op7_licenses(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = licenses.scan(docs)
+    return found.select(
+        "doc_id",
+        F.array_join("licenses", ",").alias("licenses"),
+        F.size("matches").cast("bigint").alias("n_matches"),
+        F.coalesce(F.array_max(F.transform("matches", lambda x: x.dice)), F.lit(0.0)).alias("best_dice"),
+    )
+
+
 def op8_decontamination(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.find(docs, read(spark, folder, "benchmark"), window=10)
@@ -110,7 +121,30 @@ def op10_toxicity(spark, folder):
     )
 
 
+_LITERAL = ", ".join("('{}', {}, '{}')".format(n, i, b.replace("'", "''")) for i, (n, b) in enumerate(sorted(licenses.TEMPLATES)))
+OP7_SQL = f"""
+with u as (select doc_id, 'line' as kind, unnest(string_split(text, chr(10))) as text, unnest(range(len(string_split(text, chr(10))))) as nth from documents
+  union all
+  select * from (select doc_id, 'paragraph' as kind, unnest(regexp_split_to_array(text, '\n[ \t]*\n')) as text,
+    unnest(range(len(regexp_split_to_array(text, '\n[ \t]*\n')))) as nth from documents) where contains(text, chr(10))
+  union all
+  select doc_id, 'text', text, 0 from documents where len(regexp_split_to_array(text, '\n[ \t]*\n')) > 1),
+t as (select name, template, {WORDS} as w from (values {_LITERAL}) as x(name, template, text)),
+tg as (select name, template, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as g from t),
+ug as (select doc_id, kind, nth, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as g
+  from (select doc_id, kind, nth, {WORDS} as w from u) where len(w) >= 2),
+near as (select * from ug where len(list_intersect(g, (select list_distinct(flatten(list(g))) from tg))) > 0),
+scored as (select doc_id, kind, nth, name, template, 2 * len(list_intersect(near.g, tg.g)) / (len(near.g) + len(tg.g)) as dice
+  from near join tg on len(tg.g) > 0 where 2 * least(len(near.g), len(tg.g)) >= 0.8 * (len(near.g) + len(tg.g))),
+best as (select * from scored where dice >= 0.8
+  qualify row_number() over (partition by doc_id, kind, nth order by dice desc, template) = 1),
+per as (select doc_id, string_agg(distinct name, ',' order by name) as licenses, count(*) as n, max(dice) as dice from best group by doc_id)
+select documents.doc_id, coalesce(licenses, '') as licenses, coalesce(n, 0)::bigint as n_matches, coalesce(dice, 0)::double as best_dice
+from documents left join per using (doc_id)
+"""
+
 PAIRS = {
+    "op7_licenses": (op7_licenses, OP7_SQL),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op5_sharding": (op5_sharding, None),
     "op1_bpe": (op1_bpe, None),
