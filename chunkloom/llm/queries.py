@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import bpe, decontamination, licenses, line_dedup, sharding, topk, toxicity
+from chunkloom.llm import bpe, decontamination, jaccard_join, licenses, line_dedup, sharding, topk, toxicity
 from chunkloom.llm.tables import fold, read
 
 
@@ -35,6 +35,10 @@ def op5_sharding(spark, folder):
     return sharding.assign(read(spark, folder, "documents").select("doc_id", "text"), shards=40)
 
 
+def op6_jaccard_join(spark, folder):
+    return jaccard_join.components(read(spark, folder, "documents"), jaccard_join.Rule(words=3, percent=90))
+
+
 def op7_licenses(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = licenses.scan(docs)
@@ -144,6 +148,7 @@ from documents left join per using (doc_id)
 """
 
 PAIRS = {
+    "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_licenses": (op7_licenses, OP7_SQL),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op5_sharding": (op5_sharding, None),
