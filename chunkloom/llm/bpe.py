@@ -2,9 +2,8 @@
 
 Each task holds the rank table in a small DuckDB database of its own. The words
 (matches of the pattern) of a run of texts become token-position rows, one per
-byte. A recursive query joins neighbours with the merge table and contracts, in
-every word at once, the leftmost pair of minimum rank, until no pair of any word
-has a rank. Decoding joins ids with the vocabulary and puts the pieces together in
+byte. A recursive query joins neighbours with the merge table and contracts, in every word
+at once, the leftmost pair of minimum rank, until no pair of any word has a rank. Decoding joins ids with the vocabulary and puts the pieces together in
 an ordered aggregation. Different words are encoded once and kept in a bounded
 table of the task. Texts never leave their task, so nothing is shuffled.
 
@@ -35,27 +34,22 @@ KEPT_WORDS = 200_000
 DATABASE = {"threads": 1, "memory_limit": "400MB", "temp_directory": ""}
 
 MERGE = """
-with recursive state(step, word, pos, tok) as (
-  select 0, word, pos, tok from bytes_of_words
+with recursive state(step, word, ids) as (
+  select 0, word, list(tok order by pos) from bytes_of_words group by word
   union all
-  select step + 1, word, pos, case when pos = best & 4294967295 then (best >> 32)::int else tok end
-  from (
-    select step, word, pos, tok, lag(pos) over (partition by word order by pos) as before,
-      min(pair) over (partition by word) as best
-    from (
-      select step, word, pos, tok, rank::bigint << 32 | pos as pair
-      from (select *, lead(tok) over (partition by word order by pos) as following from state) s
-      left join merges on tok = merges.lft and following = merges.rgt)
-  )
-  where best is not null and (before is null or before <> best & 4294967295)
-),
-ended as (select * from state qualify step = max(step) over (partition by word))
-select word, list(tok order by pos) as ids from ended group by word order by word
+  select s.step + 1, s.word, s.ids[:best & 4294967295] || [(best >> 32)::int] || s.ids[(best & 4294967295) + 3:]
+  from state s join (
+    select word, min(rank::bigint << 32 | pos) as best
+    from (select word, unnest(ids) as tok, unnest(ids[2:]) as following, unnest(range(0, len(ids) - 1)) as pos from state)
+    join merges on tok = lft and following = rgt
+    group by word) b on s.word = b.word
+)
+select word, arg_max(ids, step) as ids from state group by word order by word
 """
 
 # A character below 256 stands for each byte, since the pieces need not be UTF-8.
 JOIN = """
-select doc, string_agg(piece, '' order by pos) as text from tokens join vocabulary using (id) group by doc
+select doc, array_to_string(list(piece order by pos), '') as text from tokens join vocabulary using (id) group by doc
 """
 
 
