@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import bpe, decontamination, jaccard_join, licenses, line_dedup, sharding, topk, toxicity
+from chunkloom.llm import bpe, decontamination, jaccard_join, licenses, line_dedup, ppm, sharding, topk, toxicity
 from chunkloom.llm.tables import fold, read
 
 
@@ -16,6 +16,11 @@ def op1_bpe(spark, folder):
     return bpe.digests(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)).drop("text")
 
 
+def op3_ppm(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text", (fold("doc_id", 7) == 2).alias("held_out"))
+    return ppm.score(docs, ppm.fit(docs, ~F.col("held_out"))).drop("text")
+
+
 def op4_exact_topk(spark, folder):
     return topk.exact_top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -148,6 +153,7 @@ from documents left join per using (doc_id)
 """
 
 PAIRS = {
+    "op3_ppm": (op3_ppm, None),
     "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_licenses": (op7_licenses, OP7_SQL),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
