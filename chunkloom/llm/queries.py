@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import bpe, decontamination, jaccard_join, licenses, line_dedup, ppm, sharding, topk, toxicity
+from chunkloom.llm import bpe, decontamination, jaccard_join, licenses, line_dedup, ppm, sharding, suffix_dedup, topk, toxicity
 from chunkloom.llm.tables import fold, read
 
 
@@ -16,6 +16,11 @@ def op1_bpe(spark, folder):
     return bpe.digests(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)).drop("text")
 
 
+def op2_suffix_dedup(spark, folder):
+    done = suffix_dedup.dedup(read(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_ppm(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text", (fold("doc_id", 7) == 2).alias("held_out"))
     return ppm.score(docs, ppm.fit(docs, ~F.col("held_out"))).drop("text")
@@ -153,6 +158,7 @@ from documents left join per using (doc_id)
 """
 
 PAIRS = {
+    "op2_suffix_dedup": (op2_suffix_dedup, None),
     "op3_ppm": (op3_ppm, None),
     "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_licenses": (op7_licenses, OP7_SQL),
