@@ -5,7 +5,8 @@ reads, the positions of every word that occurs in test items, as posting lists b
 word. A test window starts from the posting list of its rarest word there; the
 lists of its other words, moved by their offsets in the window, then thin these
 places out, rarer words first. What is left are exact phrase matches. For
-proximity, the other words only have to occur within a number of words.
+proximity, all words of a window only have to occur, in any order, in a stretch of a
+given number of words.
 
 Postings stay with their documents, so no list of a frequent word meets in one
 task, and nothing is shuffled. Test items come to the tasks in blocks of bounded
@@ -100,24 +101,32 @@ class Postings:
         return window, start
 
     def near(self, windows: np.ndarray, within: int):
-        """Places of the rarest word with every other word of the window at most `within` words away: (window, place)."""
+        """Windows whose words all occur in a stretch of `within` words of one text: (window, a place in it)."""
         window, _, place = self.of_rarest(windows)
         width = len(self.terms) + 1
         keys = self.terms[self.places].astype(np.int64) * width + self.places
         document = np.searchsorted(self.starts, np.arange(len(self.terms)), side="right")
+        # Each other word has to be close enough to the rarest one on either side.
         for step in range(windows.shape[1]):
             term = windows[window, step].astype(np.int64)
             after = np.searchsorted(keys, term * width + place)
             close = np.zeros(len(place), dtype=bool)
             for at in (after, after - 1):
-                held = np.clip(at, 0, max(len(keys) - 1, 0))
-                other = self.places[held]
+                other = self.places[np.clip(at, 0, max(len(keys) - 1, 0))]
                 close |= (
                     (at >= 0) & (at < len(keys)) & (self.terms[other] == term)
-                    & (np.abs(other - place) <= within) & (document[other] == document[place])
+                    & (np.abs(other - place) < within) & (document[other] == document[place])
                 )
             window, place = window[close], place[close]
-        return window, place
+        whole = np.array([self._together(set(windows[w].tolist()), p, within) for w, p in zip(window, place)], dtype=bool)
+        return window[whole], place[whole]
+
+    def _together(self, terms: set[int], place: int, within: int) -> bool:
+        """Whether one stretch around a place holds all the words."""
+        owner = np.searchsorted(self.starts, place, side="right") - 1
+        low, high = max(self.starts[owner], place - within + 1), min(self.starts[owner] + self.lengths[owner], place + within)
+        around = self.terms[low:high].tolist()
+        return any(terms <= set(around[a : a + within]) for a in range(max(1, len(around) - within + 1)))
 
 
 def _spans(mask: np.ndarray):
