@@ -20,31 +20,48 @@ def clean_listing(entries: DataFrame) -> DataFrame:
     )
 
 
-def _found(first: DataFrame, second: DataFrame) -> DataFrame:
-    """One row per video: date and title from each source, the latest where a source has several."""
+def _dated(source: DataFrame, rank: int, needy: DataFrame) -> DataFrame:
+    """(video_id, rank, date, title) of a source where its date, ISO or compact, can be parsed."""
+    text = F.col("upload_date").cast("string")
+    date = F.coalesce(F.try_to_date(dates.parse_compact_date(text)), F.try_to_date(text))
+    rows = source.join(needy, "video_id", "left_semi").select("video_id", F.lit(rank).alias("rank"), date.alias("date"), "title")
+    return rows.filter(F.col("date").isNotNull())
 
-    def dated(source: DataFrame, own: str, other: str) -> DataFrame:
-        entry = F.struct("upload_date", "title")
-        return source.filter(F.col("upload_date").isNotNull()).select(
-            "video_id", entry.alias(own), F.lit(None).cast("struct<upload_date:string,title:string>").alias(other)
-        )
 
-    both = dated(first, "first", "second").unionByName(dated(second, "second", "first"))
-    return both.groupBy("video_id").agg(F.max("first").alias("first"), F.max("second").alias("second"))
+def _found(needy: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
+    """(video_id, date, title) from the first source with a date; the latest where it has several.
+
+    Dates are compared as such and titles gathered for the latest date only, so that
+    nothing has to be sorted.
+    """
+    rows = _dated(first, 1, needy).unionByName(_dated(second, 2, needy))
+    latest = rows.groupBy("video_id").agg(*[F.max(F.when(F.col("rank") == n, F.col("date"))).alias(f"date_{n}") for n in (1, 2)])
+    chosen = latest.select(
+        F.col("video_id").alias("_id"),
+        F.coalesce("date_1", "date_2").alias("_date"),
+        F.when(F.col("date_1").isNotNull(), 1).otherwise(2).alias("_rank"),
+    )
+    own = rows.join(chosen, (F.col("video_id") == F.col("_id")) & (F.col("rank") == F.col("_rank")) & (F.col("date") == F.col("_date")))
+    titles = own.groupBy("video_id", "date").agg(F.array_max(F.collect_set("title")).alias("title"))
+    return titles.select("video_id", F.struct(F.col("date").cast("string").alias("upload_date"), "title").alias("source"))
 
 
 def repair(videos: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """Fill missing or sentinel dates from `first`, failing that from `second`.
 
-    All three frames hold (video_id, title, upload_date ISO). A source's title is
-    taken only along with its date and only where the video has none. With no
-    date anywhere the old values stay. Runs a job that brings the sources
-    together, so that the videos take part in one join only.
+    All three frames hold (video_id, title, upload_date); the sources' dates may be
+    'YYYYMMDD' or ISO, and one that cannot be parsed counts as missing. A source's
+    title is taken only along with its date and only where the video has none. With
+    no date anywhere the old values stay. Runs a job that brings the sources
+    together for the videos that need them, so that the videos take part in one
+    join only.
     """
     own = F.col("upload_date")
     needed = own.isNull() | (own == fv.SENTINEL_DATE)
-    source = F.when(needed, F.coalesce("first", "second"))
-    return videos.join(stored(_found(first, second), "found"), "video_id", "left").select(
+    needy = videos.filter(needed).select("video_id").distinct()
+    joined = videos.join(stored(_found(needy, first, second), "found"), "video_id", "left")
+    source = F.when(needed, F.col("source"))
+    return joined.select(
         "video_id",
         F.coalesce(F.nullif("title", F.lit("")), source["title"], F.lit("")).alias("title"),
         F.coalesce(source["upload_date"], own).alias("upload_date"),

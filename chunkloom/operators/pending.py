@@ -4,24 +4,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from chunkloom.session import stored
 
-
-def _in_all(done: tuple[DataFrame, ...]) -> DataFrame:
-    keys = [d.select("video_id") for d in done]
-    if len(keys) == 1:
-        return keys[0]
-    return stored(reduce(lambda a, b: a.join(b, "video_id", "left_semi"), keys), "done")
+def reusable(videos: DataFrame, *done: DataFrame) -> DataFrame:
+    """Videos that every output in `done` (each with a video_id column) already holds."""
+    return reduce(lambda left, output: left.join(output.select("video_id"), "video_id", "left_semi"), done, videos)
 
 
 def unprocessed(videos: DataFrame, *done: DataFrame) -> DataFrame:
-    """Videos missing from at least one of the outputs `done` (each with a video_id column).
-
-    Several outputs are brought together by a job first.
-    """
-    return videos.join(_in_all(done), "video_id", "left_anti")
-
-
-def reusable(videos: DataFrame, *done: DataFrame) -> DataFrame:
-    """Videos that every output in `done` already holds."""
-    return videos.join(_in_all(done), "video_id", "left_semi")
+    """Videos missing from at least one of the outputs `done`. Nothing runs before the result is used."""
+    first, *others = done
+    return videos.join(reusable(first.select("video_id"), *others), "video_id", "left_anti")

@@ -5,6 +5,12 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions import dates, text, urls
 
+# So many chunk numbers of a video go to one partition.
+BLOCK = 1000
+# A number as JSON writes it; Spark's own casts also take the suffixes of Java's literals.
+_NUMBER = r"^\s*[-+]?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?\s*$"
+_WHOLE = r"^\s*[-+]?\d+(\.0*)?\s*$"
+
 
 def strip_and_drop_blank(segments: DataFrame) -> DataFrame:
     stripped = segments.withColumn("text", text.strip(text.or_empty(F.col("text"))))
@@ -21,13 +27,9 @@ def drop_stop_phrases(segments: DataFrame, phrases) -> DataFrame:
 
 def type_columns(segments: DataFrame) -> DataFrame:
     """Typed chunk_id, start_s and end_s, plus `reject_reason` where a value cannot be used."""
-    typed = segments.withColumns(
-        {
-            "chunk_id": F.col("id").try_cast("int"),
-            "start_s": F.col("start").try_cast("double"),
-            "end_s": F.col("end").try_cast("double"),
-        }
-    )
+    number = lambda name: F.when(F.rlike(name, F.lit(_NUMBER)), F.col(name).try_cast("double"))
+    whole = F.when(F.rlike("id", F.lit(_WHOLE)), F.regexp_replace("id", r"\..*$", "").try_cast("int"))
+    typed = segments.withColumns({"chunk_id": whole, "start_s": number("start"), "end_s": number("end")})
     bad_time = ~F.coalesce(
         dates.has_calendar_time(F.col("start_s")) & dates.has_calendar_time(F.col("end_s")), F.lit(False)
     )
@@ -75,15 +77,17 @@ def attach_images(segments: DataFrame, images: DataFrame, folder: str) -> DataFr
 
 
 def cluster_by_video(segments: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Chunks of a video side by side, in order, a large video over several partitions.
+    """Blocks of neighbouring chunks side by side, in order, a large video over several partitions.
 
-    Later scans group by video: with this layout nearly all of the grouping is
-    done before their shuffle, and a filter on video_id skips most files. With a
-    number of `partitions`, just as many tasks run what follows.
+    Later scans group by video: with this layout much of the grouping is done
+    before their shuffle. Hashing the block spares the sample that ranges would
+    take, which runs all that comes before once more. With a number of
+    `partitions`, just as many tasks run what follows.
     """
     key = ["video_id", "chunk_id"]
-    ranged = segments.repartitionByRange(*([partitions] if partitions else []), *key)
-    return ranged.sortWithinPartitions(*key)
+    block = F.floor(F.col("chunk_id") / BLOCK)
+    placed = segments.repartition(*([partitions] if partitions else []), "video_id", block)
+    return placed.sortWithinPartitions(*key)
 
 
 def count_segments(segments: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Building blocks of the listing queries."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,13 +13,20 @@ def distinct_listing(chunks: DataFrame) -> DataFrame:
 
 
 def latest_per_title(chunks: DataFrame) -> DataFrame:
-    """Latest date per video and title; a video with two titles gives two rows.
+    """Largest date text per video and title; a video with two titles gives two rows.
 
-    The maximum is taken over dates: over text, Spark would have to sort the
-    chunks before grouping them.
+    Full ISO dates sort like their text, so their maximum is taken over dates: over
+    text, Spark would have to sort the chunks before grouping them. Other texts are
+    grouped by themselves first, as there are few different ones per video.
     """
-    latest = F.max(F.try_to_date("upload_date"))
-    return chunks.groupBy("video_id", "title").agg(latest.cast("string").alias("upload_date"))
+    own = F.col("upload_date")
+    date = F.try_to_date(own)
+    iso = F.coalesce(date.cast("string") == own, F.lit(False))
+    keys = ["video_id", "title"]
+    odd = F.when(~iso, own)
+    by_text = chunks.groupBy(*keys, odd.alias("_odd")).agg(F.max(F.when(iso, date)).alias("_date"))
+    largest = F.array_max(F.concat(F.collect_set("_odd"), F.array_compact(F.array(F.max("_date").cast("string")))))
+    return by_text.groupBy(*keys).agg(largest.alias("upload_date"))
 
 
 def with_summary(listing: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -38,13 +47,8 @@ def newest(listing: DataFrame, n: int) -> DataFrame:
 
 def _like_pattern(q: str) -> str:
     """'%q%' in which a backslash before an ordinary character is dropped, as the database does."""
-    kept, i = [], 0
-    while i < len(q):
-        if q[i] == "\\" and i + 1 < len(q) and q[i + 1] not in "%_\\":
-            i += 1
-        kept.append(q[i])
-        i += 1
-    return f"%{''.join(kept)}%"
+    pattern = re.sub(r"\\(.)", lambda pair: pair[0] if pair[1] in "%_\\" else pair[1], q, flags=re.DOTALL)
+    return f"%{pattern}%"
 
 
 def title_matches(title: Column, q: str, collation: str | None = None) -> Column:

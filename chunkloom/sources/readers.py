@@ -2,6 +2,8 @@
 
 import os
 import re
+from functools import reduce
+from pathlib import PurePath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,40 +16,70 @@ _HAS_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]+://")
 
 
 def clean_path(path: str) -> str:
-    """Without surrounding white space and quotes; local paths are normalised, URIs left alone."""
-    path = str(path).strip().strip('"').strip("'")
-    return path if _HAS_SCHEME.match(path) else os.path.normpath(path)
+    """Trimmed, and freed from one pair of quotes around it; local paths are simplified, URIs left alone."""
+    text = str(path).strip()
+    quoted = re.fullmatch(r"""(["'])(.*)\1""", text, re.DOTALL)
+    if quoted:
+        text = quoted[2].strip()
+    return text if _HAS_SCHEME.match(text) else str(PurePath(text))
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether the file system of the path, which need not be the driver's disk, has a folder there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(place) and files.getFileStatus(place).isDirectory()
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CHUNKS).parquet(path)
 
 
-def _read_json(spark: SparkSession, path: str, schema) -> DataFrame:
-    """JSON Lines, or one JSON array per file when the first character says so."""
-    start = spark.read.text(path).select(F.ltrim("value").alias("line")).filter("line <> ''").first()
-    reader = spark.read.option("multiLine", bool(start and start.line.startswith("[")))
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+def _json_layouts(spark: SparkSession, path: str) -> dict[bool, list[str]]:
+    """The files of a path, by whether they hold JSON arrays. A pass over their lines finds out.
+
+    A file of JSON Lines has no line that begins with a bracket, a file with an array has one.
+    """
+    opens = F.startswith(F.ltrim("value"), F.lit("["))
+    files = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), opens.alias("array"))
+    by_layout: dict[bool, list[str]] = {}
+    for row in files.groupBy("file").agg(F.max("array").alias("array")).collect():
+        by_layout.setdefault(row["array"], []).append(row["file"])
+    return by_layout
 
 
-def _read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def _read_json(spark: SparkSession, path: str, schema) -> DataFrame:
+    """JSON Lines and JSON arrays, told apart file by file. A broken record ends the run."""
+    parts = []
+    for array, files in sorted(_json_layouts(spark, path).items()):
+        reader = spark.read.option("multiLine", array).option("mode", "FAILFAST")
+        parts.append((reader.schema(schema) if schema is not None else reader).json(files))
+    if not parts:
+        return spark.createDataFrame([], schema if schema is not None else T.StructType([]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _read_csv(spark: SparkSession, path: str, schema, multi_line: bool) -> DataFrame:
+    """A row with too few or too many fields ends the run."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("mode", "FAILFAST")
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
-def load_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a table in the format its path tells: a directory or .parquet, .json, .csv.
+def load_any(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """Read a table in the format its path tells: a folder or .parquet is Parquet, else .json or .csv.
 
-    With a `schema`, JSON and CSV are read without a pass over the data to infer it.
+    With a `schema`, JSON and CSV are read without a pass over the data to infer it. A CSV
+    file without line breaks inside fields can be read by several tasks: `multi_line=False`.
+    Broken records raise an error, none is dropped or filled with nulls.
     """
     path = clean_path(path)
     suffix = os.path.splitext(path)[1].lower()
-    if os.path.isdir(path) or suffix == ".parquet" or (_HAS_SCHEME.match(path) and suffix == ""):
+    if suffix == ".parquet" or (_HAS_SCHEME.match(path) and suffix == "") or ("*" not in path and is_folder(spark, path)):
         return spark.read.parquet(path)
     if suffix == ".json":
         return _read_json(spark, path, schema)
     if suffix == ".csv":
-        return _read_csv(spark, path, schema)
+        return _read_csv(spark, path, schema, multi_line)
     raise ValueError(f"unsupported format: {path}")
 
 
