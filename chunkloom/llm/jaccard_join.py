@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join with a token-group matrix.
 
 Documents with equal shingle sets are one class, and only its smallest id goes on.
-Similar classes are partitioned into groups: equal pairs of minimum hashes, divided
+Similar classes are partitioned into groups: equal minimum hashes, divided
 further where a group would get too large. The matrix has a row for each token that
 stands early in the order of a member's tokens, and each group; frequent tokens come
 last in this order. Two sets that link share a known number of such early tokens, so
@@ -11,9 +11,9 @@ shares too few tokens with the union, the group stays closed; else the query is
 compared with the members exactly. Members of one group are compared in their group.
 
 Only links that connect something new are returned, never all pairs of a group. A
-query visits groups of larger families only, which finds each link once; the groups
-of one family meet through one of their members first, and completely only where
-that left them unconnected.
+query visits groups of larger families only, which finds each link once. The groups
+of one family meet through one of their members first; where that leaves parts
+unconnected, these go through the matrix, too.
 
 Sets are of 64-bit hashes of shingles. Documents with fewer words than a shingle have
 the whole sequence as their one shingle; null and empty texts have an empty set and
@@ -42,6 +42,8 @@ FREQUENT = 8  # sampled documents that make a token frequent
 MOST_FREQUENT = 1 << 20  # bound of the list that is broadcast; it only orders tokens
 
 _SPACES = bytes(i + 32 if 65 <= i <= 90 else 32 if 9 <= i <= 13 else i for i in range(256))
+# A family shares a minimum for each of these.
+_STARTS = np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -112,8 +114,8 @@ def _early(rule: Rule, frequent):
                     first = np.concatenate([own[~often], own[often]])[: rule.early(len(own))]
                     family = 0
                     if len(own):
-                        low = np.array([(own * _P1).min(), _mix(own ^ _P2).min()])
-                        family = int(_mix(_mix(low[:1]) ^ low[1:])[0].astype(np.int64))
+                        low = [_mix(own ^ start).min() for start in _STARTS]
+                        family = int(xxhash.xxh3_64_intdigest(np.array(low).tobytes()) >> 1)
                     out.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), family, first.astype(np.int64)))
                 n, classes, families, early = zip(*out)
                 yield pa.RecordBatch.from_arrays(
@@ -237,6 +239,30 @@ def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule) ->
     return shipped.groupBy("group", "part").applyInArrow(_open(rule), "a bigint, b bigint")
 
 
+def visits_of(members: DataFrame, rule: Rule) -> DataFrame:
+    """(id, group): queries and the groups that hold enough of their early tokens.
+
+    members: id, n, group, rank, early. Only members of different ranks meet, and the
+    smaller rank is the query, so that a token of one rank only costs nothing.
+    """
+    cells = members.select(F.explode("early").alias("token"), "id", "n", "group", "rank")
+    of_token = W.partitionBy("token")
+    cells = cells.repartition("token").withColumns({"top": F.max("rank").over(of_token), "low": F.min("rank").over(of_token)})
+    cells = cut(cells.filter("low < top").select("token", "id", "n", "group", "rank", "top"), "matrix")
+    needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * rule.percent / 100) / 16))
+    enough = cells.groupBy("id").agg(F.count("*").alias("cells"), F.min("n").alias("n")).filter(F.col("cells") >= needed).select("id")
+    cells = cells.join(enough, "id", "left_semi")
+    asked = cells.filter("rank < top").select("token", "id", "n", F.col("rank").alias("own"))
+    held = cells.groupBy("token", "group", "rank").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
+    met = asked.join(held, "token").filter(
+        (F.col("own") < F.col("rank"))
+        & (F.col("largest") * 100 >= F.col("n") * rule.percent)
+        & (F.col("smallest") * rule.percent <= F.col("n") * 100)
+    )
+    # A group can stand in several rows of a token, one for each rank of its members; it is then counted too high.
+    return met.groupBy("id", "group").agg(F.count("*").alias("common"), F.min("n").alias("n")).filter(F.col("common") >= needed).select("id", "group")
+
+
 def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (the smallest id reachable by links). Runs jobs."""
     docs = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
@@ -262,23 +288,8 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
     member = cut(member.select("id", "n", "family", "rows", "groups", "group", "early"), "members")
     home = member.select("id", "group")
 
-    # The token-group matrix. Order: larger families, then the greater number.
-    cells = member.select(F.explode("early").alias("token"), "id", "n", "group", F.struct("rows", "family").alias("rank"))
-    of_token = W.partitionBy("token")
-    cells = cells.repartition("token").withColumns({"top": F.max("rank").over(of_token), "low": F.min("rank").over(of_token)}).filter("low < top")
-    cells = cut(cells.select("token", "id", "n", "group", "rank", "top"), "matrix")
-    smallest = F.ceil(F.col("n") * rule.percent / 100)
-    needed = F.greatest(F.lit(1), F.floor(smallest / 16))
-    enough = cells.groupBy("id").agg(F.count("*").alias("cells"), F.min("n").alias("n")).filter(F.col("cells") >= needed).select("id")
-    cells = cells.join(enough, "id", "left_semi")
-    asked = cells.filter("rank < top").select("token", "id", "n", F.col("rank").alias("own"))
-    held = cells.groupBy("token", "group", "rank").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
-    met = asked.join(held, "token").filter(
-        (F.col("own") < F.col("rank"))
-        & (F.col("largest") * 100 >= F.col("n") * rule.percent)
-        & (F.col("smallest") * rule.percent <= F.col("n") * 100)
-    )
-    visits = met.groupBy("id", "group").agg(F.count("*").alias("common"), F.min("n").alias("n")).filter(F.col("common") >= needed).select("id", "group")
+    visits = visits_of(member.withColumn("rank", F.struct("rows", "family")), rule)
+
     # The first member of each group of a divided family visits the family's first group.
     divided = member.filter("groups > 1")
     hubs = divided.groupBy("family").agg(F.min("group").alias("hub"))
@@ -287,13 +298,12 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
     found = cut(links(docs, home, visits.union(to_hub), rule), "links")
     joined = connected(found)
 
-    # Divided families that are still in several parts: each member visits the groups that hold other parts.
-    labelled = cut(divided.select("id", "family", "group").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+    # Divided families that are still in several parts go through the matrix, too, by their parts.
+    labelled = cut(divided.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
     open_families = labelled.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("family")
     rest = labelled.join(open_families, "family", "left_semi")
-    parts = rest.select("family", F.col("group").alias("other"), F.col("component").alias("part")).distinct()
-    late = rest.join(parts, "family").filter("group < other and component <> part").select("id", F.col("other").alias("group"))
-    late = cut(late.distinct(), "late")
+    parts = cut(rest.groupBy("component").agg(F.count("*").alias("size")), "parts")
+    late = cut(visits_of(rest.join(parts, "component").withColumn("rank", F.struct("size", "component")), rule), "late")
     if not late.isEmpty():
         their = home.join(late.select("group").distinct(), "group", "left_semi").select("id", "group")
         joined = connected(found.union(links(docs, their, late, rule)))
