@@ -235,7 +235,8 @@ def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule) ->
     away = visits.join(opened, "group").select("id", "group", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("member"))
     errands = at_home.unionByName(away).groupBy("id").agg(F.collect_list(F.struct("group", "part", "member")).alias("errands"))
     ship, shape = _ship(rule)
-    shipped = docs.join(cut(errands, "errands"), "id").select("id", "text", "errands").mapInArrow(ship, shape)
+    # Merged at every size: the plan, and what is shuffled for a document, stay the same as the table grows.
+    shipped = docs.join(cut(errands, "errands").hint("merge"), "id").select("id", "text", "errands").mapInArrow(ship, shape)
     return shipped.groupBy("group", "part").applyInArrow(_open(rule), "a bigint, b bigint")
 
 
