@@ -5,8 +5,9 @@ import importlib
 import os
 
 from chunkloom import fixed_values as fv
+from chunkloom.functions.prompts import ChatTemplate
 from chunkloom.plans import build, export, listings, summarise
-from chunkloom.session import build_session
+from chunkloom.session import build_session, drop_stored, stored
 from chunkloom.sources import readers, writers
 
 
@@ -29,23 +30,36 @@ def _source(spark, path: str | None):
     return None if path is None else readers.load_any(spark, path)
 
 
+def _inventory(spark, path: str):
+    """A Parquet table in place of a folder of single files, or None."""
+    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else None
+
+
+def _prompt(args) -> dict:
+    """The prompt options that were given; a turn template holds {role} and {content}."""
+    given = {"system": args.system, "instruction": args.instruction}
+    if args.chat_turn:
+        given["template"] = ChatTemplate(args.chat_turn, args.chat_opening)
+    return {key: value for key, value in given.items() if value is not None}
+
+
 def build_chunks(spark, args) -> None:
+    done = readers.read_chunks(spark, args.output) if args.resume else None
     built = build.build_chunks(
         readers.read_listing(spark, args.listing),
-        readers.read_segment_files(spark, args.segments),
-        readers.list_images(spark, args.images),
+        _inventory(spark, args.segments) or readers.read_segment_files(spark, args.segments),
+        _inventory(spark, args.images) or readers.list_images(spark, args.images),
         _phrases(args.phrases),
         _source(spark, args.first_source),
         _source(spark, args.second_source),
         args.images,
         _model(args.model),
         args.partitions,
+        None if done is None else stored(done.select("video_id").distinct(), "done"),
     )
-    writers.write_chunks(built.chunks, args.output)
+    writers.write_chunks(built.chunks, args.output, keep=args.resume)
     if args.rejects:
-        files = readers.malformed_segment_files(spark, args.segments)
-        rejects = built.rejects.unionByName(files, allowMissingColumns=True)
-        rejects.write.mode("overwrite").parquet(args.rejects)
+        built.rejects.write.mode("overwrite").parquet(args.rejects)
 
 
 def export_chunks(spark, args) -> None:
@@ -64,8 +78,12 @@ def export_chunks(spark, args) -> None:
 
 def summarise_chunks(spark, args) -> None:
     chunks = readers.load_any(spark, args.input)
-    made = summarise.summarise_videos(chunks, args.top_k, _model(args.model), tasks=args.tasks)
-    writers.write_summaries(made, args.output, args.buckets)
+    done = writers.stored_summaries(spark, args.output) if args.resume else None
+    done = None if done is None else stored(done.select("video_id").distinct(), "done")
+    made = summarise.summarise_videos(chunks, args.top_k, _model(args.model), tasks=args.tasks, done=done, **_prompt(args))
+    writers.write_summaries(made.summaries, args.output, args.buckets)
+    if args.rejects:
+        made.rejects.write.mode("overwrite").parquet(args.rejects)
 
 
 def _tables(spark, args):
@@ -101,11 +119,14 @@ def _parser() -> argparse.ArgumentParser:
     build_job = job("build", build_chunks, "listing", "segments", "images", "output",
                     phrases=None, first_source=None, second_source=None, model=None, rejects=None)
     build_job.add_argument("--partitions", type=int)
+    build_job.add_argument("--resume", action="store_true", help="leave out videos that the output holds, and add the others")
     export_job = job("export", export_chunks, "input", "copy-to",
                      jdbc_url=None, table="chunks", driver=None, isolation="READ_COMMITTED")
     export_job.add_argument("--connections", type=int)
     export_job.add_argument("--skip-stored", action="store_true")
-    summarise_job = job("summarise", summarise_chunks, "input", "output", model=None, top_k=fv.TOP_K)
+    summarise_job = job("summarise", summarise_chunks, "input", "output", model=None, top_k=fv.TOP_K, rejects=None,
+                        system=None, instruction=None, chat_turn=None, chat_opening="")
+    summarise_job.add_argument("--resume", action="store_true", help="leave out videos that have a summary")
     summarise_job.add_argument("--buckets", type=int)
     summarise_job.add_argument("--tasks", type=int)
     job("recent", recent, "chunks", "summaries", as_of=None, n=fv.RECENT_LIMIT)
@@ -116,7 +137,11 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv=None) -> None:
     args = _parser().parse_args(argv)
-    args.run(build_session("chunkloom"), args)
+    spark = build_session("chunkloom")
+    try:
+        args.run(spark, args)
+    finally:
+        drop_stored(spark)
 
 
 if __name__ == "__main__":

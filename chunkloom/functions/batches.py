@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 from chunkloom.fixed_values import MIN_NORM
 
@@ -112,6 +112,32 @@ def _sums(videos, distinct, length, counts, totals) -> pa.RecordBatch:
     )
 
 
+def _of_usable(vector: pa.Array, change) -> pa.Array:
+    """Each usable vector with `change` applied to blocks (matrix, norms) of them; null for the others."""
+    held = _Rows(vector)
+    out = np.full(len(vector), None, dtype=object)
+    for length, rows in _by_length(held.lengths):
+        for block in _blocks(rows, length):
+            at = rows[block]
+            matrix = held.matrix(at, length)
+            finite, norms = _norms(matrix)
+            for i, row in zip(at[finite], change(matrix[finite], norms[finite, None])):
+                out[i] = row
+    return pa.array(out, pa.list_(pa.float64()))
+
+
+@F.arrow_udf(ArrayType(DoubleType()))
+def usable(vector: pa.Array) -> pa.Array:
+    """The vector as doubles; null where it is empty or holds a null or an element that is not finite."""
+    return _of_usable(vector, lambda matrix, norms: matrix)
+
+
+@F.arrow_udf(ArrayType(DoubleType()))
+def unit(vector: pa.Array) -> pa.Array:
+    """The usable vector divided by its length."""
+    return _of_usable(vector, lambda matrix, norms: matrix / norms)
+
+
 @F.arrow_udf(DoubleType())
 def cosine_to(vector: pa.Array, centroid: pa.Array) -> pa.Array:
     """Unit vector times centroid; null unless the vector is usable and as long as the centroid."""

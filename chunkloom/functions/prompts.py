@@ -7,12 +7,8 @@ from pyspark.sql import functions as F
 
 from chunkloom import fixed_values as fv
 
-DEFAULT_SYSTEM = "You write short, factual Korean news summaries with correct spelling and spacing."
-DEFAULT_INSTRUCTION = (
-    "Summarise the transcript below in Korean, in five to seven sentences. "
-    "Open with the problem, then tell how it is solved. "
-    "Use only what the transcript says and do not repeat yourself.\n\n"
-)
+DEFAULT_SYSTEM = "You summarise texts."
+DEFAULT_INSTRUCTION = "Write a short summary of this text, in its language:\n\n"
 
 
 @dataclass(frozen=True)

@@ -4,23 +4,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chunkloom import fixed_values as fv
-
 
 def to_json_text(vector: Column) -> Column:
     return F.to_json(vector)
 
 
-def squared_norm(vector: Column) -> Column:
-    """Sum of squares; null or NaN or infinite as soon as one element is."""
-    return F.aggregate(vector, F.lit(0.0), lambda acc, e: acc + e.cast("double") * e.cast("double"))
-
-
-def is_usable(vector: Column, squares: Column) -> Column:
-    """Non-empty with finite elements only, judged by its sum of squares."""
-    return F.coalesce((F.size(vector) > 0) & (squares < F.lit(float("inf"))), F.lit(False))
-
-
 def as_array(df: DataFrame, name: str) -> Column:
     """The vector column as a numeric array, whatever type it is stored in; null when it is none."""
     kind = df.schema[name].dataType
@@ -30,23 +18,3 @@ def as_array(df: DataFrame, name: str) -> Column:
         narrow = isinstance(kind.elementType, (T.FloatType, T.DoubleType))
         return F.col(name) if narrow else F.col(name).cast("array<double>")
     return F.lit(None).cast("array<double>")
-
-
-def parse(df: DataFrame, name: str) -> Column:
-    """The vector column as array<double>, null where it is malformed, empty or not finite."""
-    vector = as_array(df, name).cast("array<double>")
-    return F.when(is_usable(vector, squared_norm(vector)), vector)
-
-
-def clipped_norm(squares: Column) -> Column:
-    return F.greatest(F.sqrt(squares), F.lit(fv.MIN_NORM))
-
-
-def unit(vector: Column) -> Column:
-    norm = clipped_norm(squared_norm(vector))
-    return F.transform(vector, lambda e: e.cast("double") / norm)
-
-
-def dot(left: Column, right: Column) -> Column:
-    products = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, e: acc + e)

@@ -14,6 +14,14 @@ from chunkloom.session import stored
 HOT_ROWS = 200_000
 # At most this many videos can be hot, whatever the data, so their list can be broadcast.
 MAX_HOT = 100_000
+# Up to this k Spark limits each task by itself before it shuffles (spark.sql.optimizer.windowGroupLimitThreshold).
+PRUNED_K = 1000
+# Beyond, a video is limited in so many parts first.
+PARTS = 256
+
+
+def _best_first():
+    return F.desc_nulls_last("sim"), F.asc_nulls_last("chunk_id"), F.col("text")
 
 
 def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
@@ -119,12 +127,27 @@ def _first_k(scored: DataFrame, k: int) -> DataFrame:
     """The k best rows per video, equal ones in chunk order.
 
     The filter on the row number lets Spark keep k rows per video and task
-    before it shuffles, so a hot video does not end up whole in one task.
+    before it shuffles, so a hot video does not end up whole in one task. It does
+    so for small k only; see `_first_many` for others.
     """
-    order = Window.partitionBy("video_id").orderBy(
-        F.col("sim").desc_nulls_last(), F.col("chunk_id").asc_nulls_last(), F.col("text")
-    )
-    return scored.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k)
+    if k > PRUNED_K:
+        return _first_many(scored, k)
+    ranked = F.row_number().over(Window.partitionBy("video_id").orderBy(*_best_first()))
+    return scored.withColumn("_rank", ranked).filter(F.col("_rank") <= k)
+
+
+def _first_many(scored: DataFrame, k: int) -> DataFrame:
+    """Like `_first_k` in two limits: over parts of each video, then over what these leave.
+
+    Equal rows are counted first, so that they need no part of their own.
+    """
+    rows = scored.groupBy("video_id", "chunk_id", "text", "sim", "n_sizes").agg(F.count("*").alias("_times"))
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("chunk_id", "text", "sim"), F.lit(PARTS)))
+    for keys in (["video_id", "_part"], ["video_id"]):
+        until = Window.partitionBy(*keys).orderBy(*_best_first()).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("_before", F.sum("_times").over(until) - F.col("_times")).filter(F.col("_before") < k)
+    copies = F.least("_times", F.lit(k) - F.col("_before"))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies))).drop("_times", "_part", "_before", "_copy")
 
 
 def top_chunks(

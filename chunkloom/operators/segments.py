@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions import dates, text, urls
 
+UNREAD = "segment file is not valid JSON"
 # So many chunk numbers of a video go to one partition.
 BLOCK = 1000
 # A number as JSON writes it; Spark's own casts also take the suffixes of Java's literals.
@@ -12,9 +13,14 @@ _NUMBER = r"^\s*[-+]?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?\s*$"
 _WHOLE = r"^\s*[-+]?\d+(\.0*)?\s*$"
 
 
+def _broken(segments: DataFrame):
+    """Whether a row stands for a file that could not be read; it has no text to be judged by."""
+    return F.col("broken") if "broken" in segments.columns else F.lit(False)
+
+
 def strip_and_drop_blank(segments: DataFrame) -> DataFrame:
     stripped = segments.withColumn("text", text.strip(text.or_empty(F.col("text"))))
-    return stripped.filter(F.col("text") != "")
+    return stripped.filter((F.col("text") != "") | _broken(segments))
 
 
 def drop_stop_phrases(segments: DataFrame, phrases) -> DataFrame:
@@ -22,7 +28,7 @@ def drop_stop_phrases(segments: DataFrame, phrases) -> DataFrame:
     phrases = list(phrases)
     if not phrases:
         return segments
-    return segments.filter(~text.has_stop_phrase(F.col("text"), phrases))
+    return segments.filter(~text.has_stop_phrase(F.col("text"), phrases) | _broken(segments))
 
 
 def type_columns(segments: DataFrame) -> DataFrame:
@@ -33,10 +39,12 @@ def type_columns(segments: DataFrame) -> DataFrame:
     bad_time = ~F.coalesce(
         dates.has_calendar_time(F.col("start_s")) & dates.has_calendar_time(F.col("end_s")), F.lit(False)
     )
-    reason = F.when(F.col("chunk_id").isNull(), "segment id is not an integer").when(
-        bad_time, "start or end is not a time"
+    reason = (
+        F.when(_broken(segments), UNREAD)
+        .when(F.col("chunk_id").isNull(), "segment id is not an integer")
+        .when(bad_time, "start or end is not a time")
     )
-    return typed.withColumn("reject_reason", reason)
+    return typed.withColumn("reject_reason", reason).drop("broken")
 
 
 def accepted(typed: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom import schemas
-from chunkloom.operators import metadata, segments as seg
+from chunkloom.operators import metadata, pending, segments as seg
 from chunkloom.operators.embedding import embed
 from chunkloom.session import stored
 
@@ -26,26 +26,35 @@ def build_chunks(
     image_folder: str = "chunk_images",
     model=None,
     partitions: int | None = None,
+    done: DataFrame | None = None,
 ) -> Built:
-    """Chunk table and rejected segments.
+    """Chunk table and rejected segments, among them files that could not be read.
 
     entries: id, title, upload_date 'YYYYMMDD'; segments: video_id, id, start,
     end, text; images: video_id, chunk_id. The sources (video_id, title,
     upload_date ISO) repair missing dates. Rows are filtered while they are
     still narrow: blank and stop-phrase texts go before any join, vectors are
-    computed last, after the final shuffle, in `partitions` tasks if given.
-    Runs a job for the videos, which both results join.
+    computed last, after the final shuffle, in `partitions` tasks if given. Videos in
+    `done` are left out. Runs a job for the videos and one that types the segments, both
+    kept as tables: the segments are read once, for chunks and rejects.
     """
     videos = metadata.clean_listing(entries)
     if first_source is not None or second_source is not None:
         nothing = videos.filter(F.lit(False))
         videos = metadata.repair(videos, first_source or nothing, second_source or nothing)
+    if done is not None:
+        videos = pending.unprocessed(videos, done)
     videos = stored(videos, "videos")
+    if done is not None:
+        segments = segments.join(videos.select("video_id"), "video_id", "left_semi")
     kept = seg.drop_stop_phrases(seg.strip_and_drop_blank(segments), phrases)
-    typed = seg.type_columns(kept)
+    typed = stored(seg.type_columns(kept), "typed")
     joined = seg.attach_videos(seg.accepted(typed), videos)
     chunks = seg.attach_images(seg.derive_times(joined), images, image_folder)
     chunks = seg.cluster_by_video(chunks, partitions)
-    known_videos = videos.select("video_id")
-    rejects = seg.rejected(typed).join(known_videos, "video_id", "left_semi")
+    # Segments of unknown videos go without notice, files that cannot be read do not.
+    rejects = seg.rejected(typed)
+    unread = F.col("reject_reason") == seg.UNREAD
+    known = rejects.filter(~unread).join(videos.select("video_id"), "video_id", "left_semi")
+    rejects = known.unionByName(rejects.filter(unread))
     return Built(schemas.conform(embed(chunks, model), schemas.CHUNKS), rejects)

@@ -1,22 +1,34 @@
 """Summaries of the videos in a chunk table."""
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chunkloom import fixed_values as fv
 from chunkloom import schemas
-from chunkloom.operators import retrieval
+from chunkloom.operators import pending, retrieval
 from chunkloom.operators.summaries import summarise
 
 
+class Summarised(NamedTuple):
+    summaries: DataFrame
+    rejects: DataFrame
+
+
 def summarise_videos(
     chunks: DataFrame,
     top_k: int = fv.TOP_K,
     model=None,
     table: DataFrame | None = None,
     tasks: int | None = None,
+    done: DataFrame | None = None,
     **prompt,
-) -> DataFrame:
-    """(video_id, summary_text, video_url), one row per video.
+) -> Summarised:
+    """Summaries (video_id, summary_text, video_url), one row per video, and rejects.
+
+    Each video is in one of the two results: rejects (video_id, reject_reason) hold the
+    videos whose vectors differ in size. Videos in `done` are left out.
 
     `chunks` needs video_id, chunk_id and text, and may hold a vector column
     named embedding, emb, vector or embeddings. With one, and no `table` of
@@ -25,5 +37,14 @@ def summarise_videos(
     """
     schemas.require_columns(chunks, fv.REQUIRED_COLUMNS)
     embedding = schemas.first_present(chunks, fv.EMBEDDING_NAMES)
+    if done is not None:
+        chunks = pending.unprocessed(chunks, done)
+    if embedding is not None and table is None:
+        table = retrieval.stored_centroids(chunks, embedding)
     picked = retrieval.top_chunks(chunks, top_k, embedding, table)
-    return summarise(retrieval.contexts(picked), model, tasks, **prompt)
+    if embedding is None:
+        rejects = chunks.select("video_id").filter(F.lit(False))
+    else:
+        rejects = retrieval.vector_rejects(table).select("video_id")
+    rejects = rejects.withColumn("reject_reason", F.lit("vectors differ in size"))
+    return Summarised(summarise(retrieval.contexts(picked), model, tasks, **prompt), rejects)

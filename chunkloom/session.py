@@ -38,6 +38,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_stored: list[str] = []
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Removes the tables that `stored` has written so far; frames that read them end with it."""
+    while _stored:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Runs a job: writes `df` to a scratch folder and reads it back.
 
@@ -47,5 +57,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lost executor does not bring the work before it back.
     """
     path = scratch_path(df.sparkSession, name)
+    _stored.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

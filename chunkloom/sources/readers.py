@@ -48,7 +48,7 @@ def _json_layouts(spark: SparkSession, path: str) -> dict[bool, list[str]]:
     return by_layout
 
 
-def _read_json(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON Lines and JSON arrays, told apart file by file. A broken record ends the run."""
     parts = []
     for array, files in sorted(_json_layouts(spark, path).items()):
@@ -77,7 +77,7 @@ def load_any(spark: SparkSession, path: str, schema: T.StructType | None = None,
     if suffix == ".parquet" or (_HAS_SCHEME.match(path) and suffix == "") or ("*" not in path and is_folder(spark, path)):
         return spark.read.parquet(path)
     if suffix == ".json":
-        return _read_json(spark, path, schema)
+        return read_json(spark, path, schema)
     if suffix == ".csv":
         return _read_csv(spark, path, schema, multi_line)
     raise ValueError(f"unsupported format: {path}")
@@ -90,34 +90,18 @@ def _video_id_of_file() -> Column:
 def read_segment_files(spark: SparkSession, folder: str) -> DataFrame:
     """Segments of all `<video_id>_segments.json` files, each a JSON array.
 
-    Columns: video_id, id, start, end, text. Other keys are ignored.
+    Columns: video_id, id, start, end, text, broken. Other keys are ignored. A file that is
+    not valid JSON gives a row that is `broken` and otherwise null, after the segments
+    before the fault; `plans.build` rejects it.
     """
+    text = T.StructField("_corrupt_record", T.StringType())
+    names = schemas.SEGMENTS.fieldNames()
     return (
-        spark.read.schema(schemas.SEGMENTS)
+        spark.read.schema(T.StructType([*schemas.SEGMENTS.fields, text]))
         .option("multiLine", True)
         .option("pathGlobFilter", "*_segments.json")
         .json(folder)
-        .select(
-            _video_id_of_file(),
-            *schemas.SEGMENTS.fieldNames(),
-        )
-    )
-
-
-def malformed_segment_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(video_id, reject_reason) of segment files that are not JSON; `read_segment_files` yields only nulls for them."""
-    broken = T.StructField("_corrupt_record", T.StringType())
-    return (
-        spark.read.schema(T.StructType([*schemas.SEGMENTS.fields, broken]))
-        .option("multiLine", True)
-        .option("pathGlobFilter", "*_segments.json")
-        .json(folder)
-        .select(_video_id_of_file(), "id", "_corrupt_record")
-        # Spark refuses to look at the broken text alone, so the test involves the id too.
-        .filter(F.concat_ws("", "id", "_corrupt_record") != "")
-        .filter(F.col("_corrupt_record").isNotNull())
-        .select("video_id", F.lit("segment file is not valid JSON").alias("reject_reason"))
-        .distinct()
+        .select(_video_id_of_file(), *names, F.col("_corrupt_record").isNotNull().alias("broken"))
     )
 
 
@@ -152,5 +136,5 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """Summary table in either layout of `writers.write_summaries`; video ids stay text."""
+    """Summary table as `writers.write_summaries` stores it; video ids stay text."""
     return spark.read.schema(schemas.SUMMARIES).parquet(path).select(*schemas.SUMMARIES.fieldNames())

@@ -1,13 +1,15 @@
 """Sinks for segments, chunk tables and summaries."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chunkloom import schemas
 from chunkloom.session import stored
 
+BUCKETS = 64
+_BUCKET = "bucket_of_"
+
 
 def write_segments(segments: DataFrame, path: str) -> None:
     """Append segments as UTF-8 JSON Lines, one folder per video.
@@ -18,9 +20,9 @@ def write_segments(segments: DataFrame, path: str) -> None:
     segments.select(*columns).write.mode("append").partitionBy("video_id").json(path)
 
 
-def write_chunks(chunks: DataFrame, path: str) -> None:
-    """Replace the chunk table."""
-    schemas.conform(chunks, schemas.CHUNKS).write.mode("overwrite").parquet(path)
+def write_chunks(chunks: DataFrame, path: str, keep: bool = False) -> None:
+    """Replace the chunk table, or with `keep` add to it: pass only videos that it lacks then."""
+    schemas.conform(chunks, schemas.CHUNKS).write.mode("append" if keep else "overwrite").parquet(path)
 
 
 def relocate(source: DataFrame, uri: str) -> None:
@@ -28,11 +30,12 @@ def relocate(source: DataFrame, uri: str) -> None:
     source.write.mode("overwrite").parquet(uri)
 
 
-def _existing_buckets(summaries: DataFrame, path: str, schema: T.StructType) -> DataFrame | None:
+def stored_summaries(spark: SparkSession, path: str) -> DataFrame | None:
+    """The summary table with its bucket column, or None where there is none."""
     try:
-        return summaries.sparkSession.read.schema(schema).parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
@@ -40,39 +43,33 @@ def _existing_buckets(summaries: DataFrame, path: str, schema: T.StructType) ->
 def write_summaries(summaries: DataFrame, path: str, buckets: int | None = None) -> None:
     """Store summaries so that a rerun replaces the videos it holds and leaves the others.
 
-    By default each video is a partition of its own. With millions of videos that
-    means millions of files: give a number of `buckets` then. A rerun rewrites the
-    buckets it touches, from their other rows and the new ones. Use one layout
-    per path, and always the same number of buckets.
+    Videos are dealt to buckets, one folder each. The number of buckets is part of the
+    column name; a table keeps the number that it was first written with, whatever is
+    asked for later. A rerun rewrites the buckets it touches, from their other rows and
+    the new ones. Null and empty ids are kept apart.
     """
     fresh = schemas.conform(summaries, schemas.SUMMARIES)
-    if buckets is None:
-        _replace_partitions(fresh, path, "video_id")
-        return
-    number = F.pmod(F.xxhash64("video_id"), F.lit(buckets)).cast("int")
-    fresh = fresh.withColumn("bucket", number)
-    schema = T.StructType([*schemas.SUMMARIES.fields, T.StructField("bucket", T.IntegerType())])
-    existing = _existing_buckets(fresh, path, schema)
+    existing = stored_summaries(fresh.sparkSession, path)
+    number = buckets or BUCKETS
+    if existing is not None:
+        held = [int(name.removeprefix(_BUCKET)) for name in existing.columns if name.startswith(_BUCKET)]
+        if not held:
+            raise ValueError(f"not a table of bucketed summaries: {path}")
+        number = held[0]
+    column = f"{_BUCKET}{number}"
+    fresh = fresh.withColumn(column, F.pmod(F.xxhash64("video_id"), F.lit(number)).cast("int"))
     rows = fresh
     if existing is not None:
         # The new rows are used three times; kept in a table, no summary is made twice.
         fresh = stored(fresh, "summaries")
-        touched = fresh.select("bucket").distinct()
-        others = existing.join(F.broadcast(touched), "bucket", "left_semi").join(
+        touched = fresh.select(column).distinct()
+        others = existing.join(F.broadcast(touched), column, "left_semi").join(
             fresh.select(F.col("video_id").alias("_new")),
             F.col("video_id").eqNullSafe(F.col("_new")),
             "left_anti",
         )
         rows = fresh.unionByName(others)
     # Sorted, so that a lookup by id skips most of each file.
-    sorted_rows = rows.repartition("bucket").sortWithinPartitions("bucket", "video_id")
-    _replace_partitions(sorted_rows, path, "bucket")
-
-
-def _replace_partitions(rows: DataFrame, path: str, column: str) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    sorted_rows = rows.repartition(column).sortWithinPartitions(column, "video_id")
+    writer = sorted_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(column).parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from chunkloom.operators import embedding, metadata, pending, segments
 from chunkloom.plans import build
+from chunkloom.session import scratch_path, stored
+from chunkloom.sources import readers, writers
 from querybook.tables import iso, read
 
 
@@ -46,6 +48,37 @@ def meta_fallback(spark, folder):
     return metadata.repair(videos, first, second)
 
 
+def meta_fallback_raw(spark, folder):
+    """Sources as they come: compact dates in the first, some broken or missing, ISO dates in the second."""
+    key = F.col("o_orderkey")
+    videos = read(spark, folder, "orders").select(
+        key.alias("video_id"), F.lit("").alias("title"),
+        F.when(key % 3 == 0, F.lit(None)).when(key % 3 == 1, "2000-01-01").otherwise(iso("o_orderdate")).alias("upload_date"),
+    )
+    line = F.col("l_orderkey")
+    first = read(spark, folder, "lineitem").select(
+        line.alias("video_id"), F.col("l_returnflag").alias("title"),
+        F.when(line % 5 == 0, F.lit(None)).when(line % 5 == 1, "not a date").when(line % 5 == 2, "20250231")
+        .otherwise(F.date_format("l_shipdate", "yyyyMMdd")).alias("upload_date"),
+    )
+    second = read(spark, folder, "customer").select(
+        F.col("c_custkey").alias("video_id"), F.col("c_name").alias("title"),
+        F.when(F.col("c_custkey") % 7 != 0, "2001-05-05").otherwise("soon").alias("upload_date"),
+    )
+    return metadata.repair(videos, first, second)
+
+
+def build_rerun(spark, folder):
+    """Built from half of the segments, then once more from all, leaving out what is there."""
+    path = scratch_path(spark, "chunks")
+    half = F.pmod(F.xxhash64("video_id"), F.lit(2)) == 0
+    writers.write_chunks(_built(spark, folder, half).chunks, path)
+    done = stored(readers.read_chunks(spark, path).select("video_id").distinct(), "done")
+    writers.write_chunks(_built(spark, folder, done=done).chunks, path, keep=True)
+    chunks = readers.read_chunks(spark, path)
+    return chunks.withColumn("elements", F.size("embedding").cast("bigint")).drop("embedding")
+
+
 def segment_join(spark, folder):
     docs = read(spark, folder, "documents").select(F.col("doc_id").alias("video_id"), "source", "n_chars")
     videos = read(spark, folder, "labels").select(F.col("doc_id").alias("video_id"), F.col("quality").alias("title"))
@@ -113,7 +146,7 @@ def default_embedding(spark, folder):
     )
 
 
-def _built(spark, folder):
+def _built(spark, folder, which=None, done=None):
     turn = F.col("turn")
     turns = read(spark, folder, "conversations").select(
         F.col("conv_id").cast("string").alias("video_id"),
@@ -125,7 +158,8 @@ def _built(spark, folder):
     images = read(spark, folder, "conversations").filter("turn % 2 = 0").select(
         F.col("conv_id").cast("string").alias("video_id"), F.col("turn").cast("int").alias("chunk_id")
     )
-    return build.build_chunks(_entries(spark, folder), turns, images, ["the of", "que la"])
+    turns = turns if which is None else turns.filter(which)
+    return build.build_chunks(_entries(spark, folder), turns, images, ["the of", "que la"], done=done)
 
 
 def chunk_table(spark, folder):
@@ -150,6 +184,13 @@ _SQL_KEPT = r"""
     and not (contains(lower(text), 'the of') or contains(lower(text), 'que la')
       or contains(lower(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g')), 'theof')
       or contains(lower(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g')), 'quela'))"""
+_SQL_CHUNKS = f"""
+  select k.video_id, e.title, e.upload_date, cast(turn as integer) as chunk_id,
+         '00:00:' || lpad(cast(turn * 15 // 2 as varchar), 2, '0') || case when turn % 2 = 1 then '.500000' else '' end as start_time,
+         '00:00:' || lpad(cast((turn * 30 + 17) // 4 as varchar), 2, '0') || case when turn % 2 = 1 then '.750000' else '.250000' end as end_time,
+         k.text, case when turn % 2 = 0 then 'chunk_images/' || k.video_id || '/' || turn || '.jpg' end as image_path,
+         cast(256 as bigint) as elements
+  from ({_SQL_KEPT}) k join ({_SQL_ENTRIES}) e on e.video_id = k.video_id where turn <> 6"""
 
 PAIRS = {
     "listing_clean": (listing_clean, _SQL_ENTRIES),
@@ -172,6 +213,21 @@ PAIRS = {
          case when v.d is not null and v.d <> '2000-01-01' then v.d
               when a.d is not null then a.d when c_custkey is not null then '2001-05-05' else v.d end as upload_date
   from v left join a on a.id = v.id left join customer on c_custkey = v.id""",
+    ),
+    "meta_fallback_raw": (
+        meta_fallback_raw,
+        """
+  with v as (
+    select o_orderkey as id, case o_orderkey % 3 when 0 then null when 1 then '2000-01-01' else strftime(o_orderdate, '%Y-%m-%d') end as d
+    from orders),
+  a as (
+    select l_orderkey as id, strftime(l_shipdate, '%Y-%m-%d') as d, l_returnflag as t from lineitem where l_orderkey % 5 > 2
+    qualify row_number() over (partition by l_orderkey order by l_shipdate desc, l_returnflag desc) = 1),
+  b as (select c_custkey as id, c_name as t from customer where c_custkey % 7 <> 0)
+  select v.id as video_id,
+         case when v.d <> '2000-01-01' then '' when a.d is not null then a.t else coalesce(b.t, '') end as title,
+         case when v.d <> '2000-01-01' then v.d when a.d is not null then a.d when b.id is not null then '2001-05-05' else v.d end as upload_date
+  from v left join a on a.id = v.id left join b on b.id = v.id""",
     ),
     "segment_join": (
         segment_join,
@@ -207,16 +263,8 @@ PAIRS = {
          case when turn % 3 <> 0 and trim(text) <> '' then 1.0::double else 0.0::double end as length
   from conversations""",
     ),
-    "chunk_table": (
-        chunk_table,
-        f"""
-  select k.video_id, e.title, e.upload_date, cast(turn as integer) as chunk_id,
-         '00:00:' || lpad(cast(turn * 15 // 2 as varchar), 2, '0') || case when turn % 2 = 1 then '.500000' else '' end as start_time,
-         '00:00:' || lpad(cast((turn * 30 + 17) // 4 as varchar), 2, '0') || case when turn % 2 = 1 then '.750000' else '.250000' end as end_time,
-         k.text, case when turn % 2 = 0 then 'chunk_images/' || k.video_id || '/' || turn || '.jpg' end as image_path,
-         cast(256 as bigint) as elements
-  from ({_SQL_KEPT}) k join ({_SQL_ENTRIES}) e on e.video_id = k.video_id where turn <> 6""",
-    ),
+    "build_rerun": (build_rerun, _SQL_CHUNKS),
+    "chunk_table": (chunk_table, _SQL_CHUNKS),
     "chunk_rejects": (
         chunk_rejects,
         f"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from chunkloom.functions import dates, prompts, text, urls, vectors
+from chunkloom.functions import batches, dates, prompts, text, urls, vectors
 from chunkloom.operators import segments, summaries
 from querybook.retrieval import _sql_clean_twice
 from querybook.tables import read
@@ -125,7 +125,7 @@ def prompt_text(spark, folder):
 
 def prompt_chat(spark, folder):
     template = prompts.ChatTemplate("<{role}>{content}</>\n", "<assistant>")
-    prompt = prompts.render(F.col("text"), "Be brief.", "Sum up:\n", template, max_chars=100)
+    prompt = prompts.render(F.col("text"), "Be brief.", "Sum up:\n", template)
     return read(spark, folder, "conversations").select("conv_id", "turn", prompt.alias("prompt"))
 
 
@@ -141,7 +141,7 @@ def vector_json_roundtrip(spark, folder):
     stored = read(spark, folder, "embeddings").select(
         "vec_id", vectors.to_json_text(F.col("embedding").cast("array<double>")).alias("embedding")
     )
-    parsed = stored.withColumn("v", vectors.parse(stored, "embedding"))
+    parsed = stored.withColumn("v", batches.usable(vectors.as_array(stored, "embedding")))
     return parsed.select("vec_id", F.posexplode("v").alias("pos", "value"))
 
 
@@ -157,7 +157,7 @@ def vector_text_parse(spark, folder):
         .when(F.col("event_id") % 8 == 6, "[0]")
         .alias("embedding"),
     )
-    parsed = rows.withColumn("v", vectors.parse(rows, "embedding"))
+    parsed = rows.withColumn("v", batches.usable(vectors.as_array(rows, "embedding")))
     return parsed.select("event_id", F.array_size("v").cast("bigint").alias("elements"), F.get("v", F.lit(0)).alias("first"))
 
 
@@ -252,7 +252,7 @@ PAIRS = {
     "prompt_chat": (
         prompt_chat,
         """
-  select conv_id, turn, '<system>Be brief.</>' || chr(10) || '<user>Sum up:' || chr(10) || substr(text, 1, 100)
+  select conv_id, turn, '<system>Be brief.</>' || chr(10) || '<user>Sum up:' || chr(10) || substr(text, 1, 5000)
          || '</>' || chr(10) || '<assistant>' as prompt
   from conversations""",
     ),

@@ -43,6 +43,14 @@ def title_search_wildcard(spark, folder):
     return listings.search(_chunks(spark, folder), _summaries(spark, folder), "_d%g", n=40)
 
 
+def title_search_escape(spark, folder):
+    """An escaped pair of backslashes, then a letter that is not in any title; another pair before a wildcard."""
+    chunks = _chunks(spark, folder).withColumn("title", F.concat("title", F.lit("\\x%")))
+    summaries = _summaries(spark, folder)
+    found = listings.search(chunks, summaries, "\\\\x", n=30)
+    return found.unionByName(listings.search(chunks, summaries, "red%\\\\x\\%", n=10)).unionByName(listings.search(chunks, summaries, "\\%x"))
+
+
 def title_search_ignore_case(spark, folder):
     return listings.search(_chunks(spark, folder), _summaries(spark, folder), "RED", collation="UTF8_LCASE")
 
@@ -101,6 +109,13 @@ PAIRS = {
     "catalogue_latest": (catalogue_latest, _sql_catalogue()),
     "title_search": (title_search, _sql_catalogue("title like '%red%'")),
     "title_search_wildcard": (title_search_wildcard, _sql_catalogue("title like '%_d%g%'", 40)),
+    "title_search_escape": (
+        title_search_escape,
+        " union all ".join(
+            f"select * replace (title || '\\x%' as title) from ({_sql_catalogue(where, n)})"
+            for where, n in (("true", 30), ("title like '%red%'", 10))
+        ),
+    ),
     "title_search_ignore_case": (title_search_ignore_case, _sql_catalogue("title ilike '%RED%'")),
     "recent_items": (
         recent_items,

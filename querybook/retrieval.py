@@ -4,9 +4,12 @@ embeddings rows are chunks (vec_id) of the video label; conversations rows are
 chunks (turn) of the video conv_id.
 """
 
+import re
+
 from pyspark.sql import functions as F
 
-from chunkloom.functions import vectors
+from chunkloom import fixed_values as fv
+from chunkloom.functions import batches
 from chunkloom.operators import retrieval, summaries
 from chunkloom.plans import summarise
 from querybook.tables import read
@@ -77,9 +80,29 @@ def chunk_similarity(spark, folder):
     return scored.select("video_id", "chunk_id", (F.round("sim", 6) + 0.0).alias("sim"))
 
 
+def summary_rejects(spark, folder):
+    """Videos in are summaries and rejects: every third label has vectors of two sizes."""
+    cut = F.when((F.col("video_id") % 3 == 0) & (F.col("chunk_id") % 2 == 0), F.slice("embedding", 1, 8))
+    chunks = _vectors(spark, folder).withColumn("embedding", F.coalesce(cut, F.col("embedding")))
+    made = summarise.summarise_videos(chunks)
+    kept = made.summaries.select("video_id", F.lit("summary").alias("result"))
+    return kept.unionByName(made.rejects.select("video_id", F.col("reject_reason").alias("result")))
+
+
+def large_k_topk(spark, folder):
+    """All lines are one video but for every tenth order; k is beyond what Spark prunes by itself."""
+    key = F.col("l_orderkey")
+    lines = read(spark, folder, "lineitem").select(
+        F.when(key % 10 == 0, key % 7).otherwise(-1).alias("video_id"),
+        (key * 10 + F.col("l_linenumber")).alias("chunk_id"),
+        F.col("l_returnflag").alias("text"),
+    )
+    return retrieval.top_chunks(lines, k=1500)
+
+
 def unit_vectors(spark, folder):
     chunks = _vectors(spark, folder)
-    scaled = vectors.unit(F.transform("embedding", lambda e: e * 3))
+    scaled = batches.unit(F.transform("embedding", lambda e: e.cast("double") * 3))
     return chunks.select("chunk_id", F.posexplode(scaled).alias("pos", "value")).withColumn(
         "value", F.round("value", 6) + 0.0
     )
@@ -103,14 +126,14 @@ def chunk_order(spark, folder):
 def extractive_summary(spark, folder):
     """Every seventh conversation has blank texts only."""
     text = F.when(F.col("video_id") % 7 == 0, F.lit(" \t")).otherwise(F.col("text"))
-    return summarise.summarise_videos(_turns(spark, folder).withColumn("text", text))
+    return summarise.summarise_videos(_turns(spark, folder).withColumn("text", text)).summaries
 
 
 def centroid_summary(spark, folder):
     """The whole job on vectors: documents are the texts of the embeddings of the same number."""
     docs = read(spark, folder, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
     chunks = _vectors(spark, folder).drop("text").join(docs, "chunk_id")
-    return summarise.summarise_videos(chunks, top_k=3)
+    return summarise.summarise_videos(chunks, top_k=3).summaries
 
 
 def default_draft(spark, folder):
@@ -155,10 +178,14 @@ _SQL_UNITS = """
   means as (select video_id, pos, avg(e) as m, count(*) as n from elements group by all)"""
 
 # No look-behind here: sentence ends get a mark first, and the text is split at the marks.
-SQL_STRIP_ECHO = r"""
+_HEADING = rf"###\s*(?:{'|'.join(fv.HEADING_WORDS)})\s*:?.*?$"
+_CHAT = f"{re.escape(fv.CHAT_OPEN)}.*?{re.escape(fv.CHAT_CLOSE)}"
+_ROLE = rf"^\s*(?:{'|'.join(fv.ROLE_WORDS)})\b.*$"
+SQL_STRIP_ECHO = rf"""
   array_to_string(list_filter(list_transform(string_split(regexp_replace(trim(regexp_replace(
-    case when instr({text}, '### 요약:') > 0 then substr({text}, instr({text}, '### 요약:') + 7) else {text} end,
-    '(?ims)(?:###\s*(?:답변|요약|질문|명령어|입력|맥락|응답)\s*:?.*?$)|(?:<\|im_start\|>.*?<\|im_end\|>)|^\s*(?:system|user|assistant)\b.*$',
+    case when instr({{text}}, '{fv.SUMMARY_MARKER}') > 0
+      then substr({{text}}, instr({{text}}, '{fv.SUMMARY_MARKER}') + {len(fv.SUMMARY_MARKER)}) else {{text}} end,
+    '(?ims)(?:{_HEADING})|(?:{_CHAT})|(?:{_ROLE})',
     '', 'g'), chr(9) || chr(10) || chr(13) || ' ' || chr(12288)), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)),
     lambda s: trim(s, chr(9) || chr(10) || chr(13) || ' ' || chr(12288))), lambda s: s <> '')[1:7], ' ')"""
 
@@ -218,6 +245,21 @@ PAIRS = {
   with {_SQL_UNITS}
   select video_id, chunk_id, round(sum(e * m), 6) + 0.0 as sim
   from elements join means using (video_id, pos) group by video_id, chunk_id""",
+    ),
+    "summary_rejects": (
+        summary_rejects,
+        """
+  select label as video_id, case when label % 3 = 0 and count(distinct vec_id % 2) = 2
+         then 'vectors differ in size' else 'summary' end as result
+  from embeddings group by label""",
+    ),
+    "large_k_topk": (
+        large_k_topk,
+        """
+  select case when l_orderkey % 10 = 0 then l_orderkey % 7 else -1 end as video_id,
+         l_orderkey * 10 + l_linenumber as chunk_id, l_returnflag as text
+  from lineitem qualify row_number() over (partition by 1, case when l_orderkey % 10 = 0 then l_orderkey % 7 else -1 end
+    order by l_orderkey * 10 + l_linenumber, l_returnflag) <= 1500""",
     ),
     "unit_vectors": (
         unit_vectors,

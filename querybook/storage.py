@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from chunkloom.session import scratch_path
+from chunkloom.plans import export
 from chunkloom.sources import database, readers, writers
 from querybook.tables import read
 
@@ -39,6 +40,35 @@ def json_lines_scan(spark, folder):
     return readers.load_any(spark, f"{path}/*.json")
 
 
+def _mixed_files(spark, folder, arrays_larger):
+    """Even conversations as one JSON array per file, odd ones as lines; one kind in larger files."""
+    path = scratch_path(spark, "mixed")
+    turns = _turns(spark, folder).withColumn("part", F.col("turn") % 3)
+    parity = F.substring("video_id", -1, 1).cast("int") % 2
+    keys = ["part"] if arrays_larger else ["part", "video_id"]
+    record = F.struct("video_id", "turn", "text")
+    arrays = turns.filter(parity == 0).groupBy(*keys).agg(F.to_json(F.collect_list(record)).alias("value")).select("value")
+    arrays = arrays.coalesce(1) if arrays_larger else arrays.repartition(4)
+    # One record per file is one array per file.
+    arrays.write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
+    lines = turns.filter(parity == 1).drop("part")
+    lines.repartition(12 if arrays_larger else 1).write.json(f"{path}/lines")
+    return f"{path}/*/part*"
+
+
+def json_array_scan(spark, folder):
+    path = scratch_path(spark, "arrays")
+    records = _turns(spark, folder).groupBy(F.col("turn") % 4).agg(F.to_json(F.collect_list(F.struct("video_id", "turn", "text"))).alias("value"))
+    records.select("value").coalesce(1).write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_json(spark, f"{path}/part*")
+
+
+def json_mixed_scan(spark, folder):
+    """Twice: with the files of arrays the larger ones, and the smaller ones."""
+    first, second = (readers.read_json(spark, _mixed_files(spark, folder, larger)) for larger in (True, False))
+    return first.withColumn("larger", F.lit("arrays")).unionByName(second.withColumn("larger", F.lit("lines")))
+
+
 def csv_scan(spark, folder):
     """Texts with line breaks and quotes, types inferred; vectors come back as text."""
     path = scratch_path(spark, "csv")
@@ -60,13 +90,13 @@ def segment_store(spark, folder):
     return readers.read_segments(spark, path)
 
 
-def _rerun(spark, folder, buckets):
+def _rerun(spark, folder, buckets, later=None):
     path = scratch_path(spark, "summaries")
-    videos = _turns(spark, folder).select("video_id").distinct()
+    videos = _turns(spark, folder).select(F.when(F.col("video_id") != "000007", F.col("video_id")).otherwise("").alias("video_id")).distinct()
     summary = videos.withColumn("summary_text", F.concat(F.lit("first "), "video_id")).withColumn("video_url", F.col("video_id"))
     writers.write_summaries(summary, path, buckets)
     again = summary.filter("video_id like '%3'").withColumn("summary_text", F.concat(F.lit("second "), "video_id"))
-    writers.write_summaries(again, path, buckets)
+    writers.write_summaries(again, path, later or buckets)
     return readers.read_summaries(spark, path)
 
 
@@ -78,6 +108,31 @@ def summary_rerun_buckets(spark, folder):
     return _rerun(spark, folder, 8)
 
 
+def summary_rerun_other_buckets(spark, folder):
+    """A rerun that asks for another number of buckets; an empty id stays empty."""
+    return _rerun(spark, folder, 8, 16)
+
+
+def listing_scan(spark, folder):
+    """Listings of a hundred entries per file, some with keys that are not read."""
+    path = scratch_path(spark, "listings")
+    key = F.col("o_orderkey")
+    entry = F.struct(key.cast("string").alias("id"), F.col("o_orderpriority").alias("title"),
+                     F.date_format("o_orderdate", "yyyyMMdd").alias("upload_date"), key.alias("views"))
+    files = read(spark, folder, "orders").groupBy(F.floor(key / 100)).agg(F.to_json(F.struct(F.collect_list(entry).alias("entries"))).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_listing(spark, path)
+
+
+def export_copy(spark, folder):
+    """The export job without a database, run twice."""
+    source, target = scratch_path(spark, "chunks"), scratch_path(spark, "copy")
+    writers.write_chunks(_vector_rows(spark, folder), source)
+    for _ in range(2):
+        export.export_chunks(spark, source, target)
+    return database.to_relational(readers.read_chunks(spark, target))
+
+
 def _vector_rows(spark, folder):
     return read(spark, folder, "embeddings").select(
         F.col("label").cast("string").alias("video_id"),
@@ -102,12 +157,20 @@ def relational_rows_new(spark, folder):
     return database.without_existing(rows, rows.filter("chunk_id % 3 = 0")).select("video_id", "chunk_id")
 
 
-_SQL_VIDEOS = "select distinct lpad(cast(conv_id as varchar), 6, '0') as video_id from conversations"
+_SQL_VIDEOS = "select distinct case when conv_id <> 7 then lpad(cast(conv_id as varchar), 6, '0') else '' end as video_id from conversations"
 _SQL_RERUN = f"""
   select video_id, case when video_id like '%3' then 'second ' else 'first ' end || video_id as summary_text,
          video_id as video_url from ({_SQL_VIDEOS})"""
 _SQL_QUARTERS = "list_transform(embedding, lambda e: cast(round(cast(e as double) * 100) as integer) / cast(4 as double))"
 
+_SQL_TURNS = "select lpad(cast(conv_id as varchar), 6, '0') as video_id, turn, text from conversations"
+_SQL_RELATIONAL = f"""
+  select cast(label as varchar) as video_id, 't' as title, '2025-07-11' as upload_date, cast(vec_id as integer) as chunk_id,
+         '00:00:00' as start_time, '00:00:01' as end_time, 'x' as text,
+         '[' || array_to_string(list_transform({_SQL_QUARTERS}, lambda e: cast(e as varchar)), ',') || ']' as embedding,
+         cast(null as varchar) as image_path
+  from embeddings"""
+
 PAIRS = {
     "parquet_relocation": (parquet_relocation, "select event_id, user_id, value, props from events"),
     "chunk_rewrite": (
@@ -119,8 +182,10 @@ PAIRS = {
     ),
     "json_lines_scan": (
         json_lines_scan,
-        "select lpad(cast(conv_id as varchar), 6, '0') as video_id, turn, text from conversations",
+        _SQL_TURNS,
     ),
+    "json_array_scan": (json_array_scan, _SQL_TURNS),
+    "json_mixed_scan": (json_mixed_scan, f"select *, unnest(['arrays', 'lines']) as larger from ({_SQL_TURNS})"),
     "csv_scan": (csv_scan, "select conv_id, turn, role, '\"quoted\", ' || text as text from conversations"),
     "segment_store": (
         segment_store,
@@ -131,15 +196,13 @@ PAIRS = {
     ),
     "summary_rerun": (summary_rerun, _SQL_RERUN),
     "summary_rerun_buckets": (summary_rerun_buckets, _SQL_RERUN),
-    "relational_rows": (
-        relational_rows,
-        f"""
-  select cast(label as varchar) as video_id, 't' as title, '2025-07-11' as upload_date, cast(vec_id as integer) as chunk_id,
-         '00:00:00' as start_time, '00:00:01' as end_time, 'x' as text,
-         '[' || array_to_string(list_transform({_SQL_QUARTERS}, lambda e: cast(e as varchar)), ',') || ']' as embedding,
-         cast(null as varchar) as image_path
-  from embeddings""",
+    "summary_rerun_other_buckets": (summary_rerun_other_buckets, _SQL_RERUN),
+    "listing_scan": (
+        listing_scan,
+        "select cast(o_orderkey as varchar) as id, o_orderpriority as title, strftime(o_orderdate, '%Y%m%d') as upload_date from orders",
     ),
+    "export_copy": (export_copy, _SQL_RELATIONAL),
+    "relational_rows": (relational_rows, _SQL_RELATIONAL),
     "relational_rows_new": (
         relational_rows_new,
         "select cast(label as varchar) as video_id, cast(vec_id as integer) as chunk_id from embeddings where vec_id % 3 <> 0",

@@ -1,9 +1,14 @@
 """Listing queries and summaries."""
 
+import re
+
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from chunkloom.operators import serving
 from chunkloom.operators.summaries import summarise
 from chunkloom.plans import listings
 from chunkloom.plans.summarise import summarise_videos
@@ -118,7 +123,7 @@ def test_summarise_videos(spark):
         ],
         CHUNKS,
     )
-    assert rows(summarise_videos(chunks, top_k=2)) == [
+    assert rows(summarise_videos(chunks, top_k=2).summaries) == [
         ("blank", "(내용 없음)", "https://youtu.be/blank"),
         ("v", "One. Two!", "https://youtu.be/v"),
         (None, "Nobody's.", None),
@@ -131,7 +136,7 @@ def test_summarise_videos_with_model(spark):
         return prompts.map(lambda p: f"{len(p)} characters. Done.")
 
     chunks = spark.createDataFrame([("v", 1, "One.", None), ("w", 1, "Two!", None)], CHUNKS)
-    made = summarise_videos(chunks, model=model, tasks=2, system="", instruction="")
+    made = summarise_videos(chunks, model=model, tasks=2, system="", instruction="").summaries
     text = f"{len('SYSTEM: \nUSER: One.')} characters. Done."
     assert rows(made) == [("v", text, "https://youtu.be/v"), ("w", text, "https://youtu.be/w")]
 
@@ -152,3 +157,28 @@ def test_model_sees_prompts(spark):
         ("b", "(내용 없음)", "https://youtu.be/b"),
         ("v", "Seen SYSTEM: S. USER: Do. Text.", "https://youtu.be/v"),
     ]
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.text(alphabet="\\%_a", max_size=6))
+def test_search_never_fails(spark, q):
+    """Any text can be searched for; it matches as a database's LIKE does."""
+    titles = ["a", "", "\\", "%", "_a", "a\\%", "\\\\_"]
+    frame = spark.createDataFrame([(t,) for t in titles], "title string")
+    got = {r.title for r in frame.filter(serving.title_matches(F.col("title"), q)).collect()}
+    tokens = re.findall(r"\\.|.", f"%{q}%", re.DOTALL)
+    want = re.compile("".join(".*" if t == "%" else "." if t == "_" else re.escape(t[-1]) for t in tokens), re.DOTALL)
+    assert got == {t for t in titles if want.fullmatch(t)}
+
+
+def test_latest_per_title_keeps_texts_that_are_no_dates(spark):
+    rows_in = [("v", "t", "2025"), ("v", "t", "2024-01-01"), ("w", "t", "soon"), ("w", "t", "2024-01-01"), ("x", "t", None), ("y", "t", "2024-02-01"), ("y", "t", "2024-01-31")]
+    got = serving.latest_per_title(spark.createDataFrame(rows_in, "video_id string, title string, upload_date string"))
+    assert {r.video_id: r.upload_date for r in got.collect()} == {"v": "2025", "w": "soon", "x": None, "y": "2024-02-01"}
+
+
+def test_videos_are_summaries_or_rejects(spark):
+    chunks = spark.createDataFrame([("v", 1, "One.", "[1, 0]"), ("v", 2, "Two.", "[1]"), ("w", 1, "Three.", "[1]"), (None, 1, "Four.", None)], CHUNKS)
+    made = summarise_videos(chunks)
+    assert [r.video_id for r in made.rejects.collect()] == ["v"]
+    assert {r.video_id for r in made.summaries.collect()} == {"w", None}

@@ -148,3 +148,41 @@ def test_build_chunks_with_one_source(spark):
 
 def test_build_has_no_python_without_model(spark):
     assert "EvalPython" not in plan(build(spark).chunks)
+
+
+def test_build_reads_each_segment_once(spark):
+    """Rows that pass the scan are counted while chunks and rejects are both used."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows_in = [("v", str(i) if i % 5 else "bad", "0", "1", f"text {i}") for i in range(100)]
+    parts = spark.createDataFrame(rows_in, SEGMENT).mapInArrow(counted, SEGMENT)
+    entries = spark.createDataFrame([("v", "T", "20250711")], "id string, title string, upload_date string")
+    images = spark.createDataFrame([], "video_id string, chunk_id int")
+    chunks, rejects = build_chunks(entries, parts, images)
+    assert (chunks.count(), rejects.count(), seen.value) == (80, 20, 100)
+
+
+def test_build_leaves_out_what_is_done(spark):
+    done = spark.createDataFrame([("v",)], "video_id string")
+    chunks, rejects = build(spark, done=done)
+    assert {r.video_id for r in chunks.collect()} == {"w"} and rejects.count() == 0
+
+
+def test_ids_and_times_are_numbers(spark):
+    given = ["3", " 3.0 ", "3.", "3.5", "5d", "6f", "1e1", "-2", "99999999999", "", None]
+    frame = spark.createDataFrame([("v", g, g, g, "t") for g in given], SEGMENT)
+    got = segments.type_columns(frame)
+    assert [r.chunk_id for r in got.collect()] == [3, 3, 3, None, None, None, None, -2, None, None, None]
+    assert [r.start_s for r in got.collect()] == [3.0, 3.0, 3.0, 3.5, None, None, 10.0, -2.0, 99999999999.0, None, None]
+
+
+def test_repair_sorts_nothing(spark):
+    frame = spark.createDataFrame([("v", "", None)], VIDEO)
+    sources = spark.createDataFrame([("v", "t", "20250711"), ("v", "u", "broken"), ("w", "u", "20250712")], VIDEO)
+    assert "SortAggregate" not in plan(metadata._found(frame.select("video_id"), sources, frame))
+    assert rows(metadata.repair(frame, sources, frame)) == [("v", "t", "2025-07-11")]

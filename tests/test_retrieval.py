@@ -1,5 +1,9 @@
 """Top chunks against brute force in numpy, with hot videos, null ids and unusable vectors."""
 
+import collections
+import math
+import operator
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,19 +14,28 @@ from tests.helpers import plan, rows
 SCHEMA = "video_id string, chunk_id int, text string, embedding array<double>"
 
 
+def similarity_by_chunk(chunks):
+    """Chunk to cosine with the mean of the unit vectors, from sums of single products."""
+    units = {}
+    for _, chunk, _, vector in chunks:
+        if vector and None not in vector and all(map(math.isfinite, vector)):
+            length = max(1e-6, math.sqrt(math.fsum(e * e for e in vector)))
+            units[chunk] = [e / length for e in vector]
+    centre = [math.fsum(place) / len(units) for place in zip(*units.values())]
+    return {chunk: math.fsum(map(operator.mul, unit, centre)) for chunk, unit in units.items()}
+
+
 def brute_force(data, k):
     picked = []
-    for video in {r[0] for r in data}:
-        group = sorted((r for r in data if r[0] == video), key=lambda r: r[1])
-        valid = [r for r in group if r[3] and all(e is not None and np.isfinite(e) for e in r[3])]
-        if not valid:
-            picked += [(video, r[1]) for r in group[:k]]
-            continue
-        x = np.array([r[3] for r in valid])
-        x = x / np.clip(np.linalg.norm(x, axis=1, keepdims=True), 1e-6, None)
-        sims = x @ x.mean(axis=0)
-        best = sorted(range(len(valid)), key=lambda i: (-sims[i], valid[i][1]))[:k]
-        picked += [(video, valid[i][1]) for i in best]
+    by_video = collections.defaultdict(list)
+    for row in data:
+        by_video[row[0]].append(row)
+    for video, chunks in by_video.items():
+        found = similarity_by_chunk(chunks) or {row[1]: 0.0 for row in chunks}
+        # A chunk is in when fewer than k others come before it.
+        for chunk, own in found.items():
+            before = sum(other > own or (other == own and c < chunk) for c, other in found.items())
+            picked += [(video, chunk)] * (before < k)
     return sorted(picked, key=repr)
 
 
@@ -172,3 +185,20 @@ def test_plan_limits_before_the_shuffle(spark, data):
     assert text.count("WindowGroupLimit") >= 2
     assert "BatchEvalPython" not in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("copies", [1, 700])
+def test_large_k_in_two_limits(spark, monkeypatch, copies):
+    """Many equal rows of one video; the limit falls between them."""
+    monkeypatch.setattr(retrieval, "PARTS", 4)
+    rows_in = [("hot", i, f"t{i}", None) for i in range(2500)] + [("hot", None, "", None)] * copies + [("cold", 1, "t", None)]
+    chunks = spark.createDataFrame(rows_in, SCHEMA)
+    for k in (1001, 2600):
+        got = collections.Counter((r.video_id, r.chunk_id) for r in retrieval.top_chunks(chunks, k).collect())
+        hot = [i for i in range(2500)] + [None] * copies
+        assert got == collections.Counter([("hot", c) for c in hot[:k]] + [("cold", 1)])
+
+
+def test_large_k_limits_before_the_last_shuffle(spark):
+    chunks = spark.createDataFrame([("v", 1, "t", None)], SCHEMA)
+    assert plan(retrieval.top_chunks(chunks, 5000)).count("Window") >= 2

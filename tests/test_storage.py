@@ -41,6 +41,47 @@ def test_load_any_csv(spark, tmp_path):
     assert rows(readers.load_any(spark, str(tmp_path / "x.csv"))) == [("v", 1, 'a "b"\nc', "[1, 2]"), ("w", 2, None, None)]
 
 
+@pytest.mark.parametrize("arrays_larger", [True, False])
+def test_json_layout_is_told_by_file(spark, tmp_path, arrays_larger):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    n = (40, 3) if arrays_larger else (3, 40)
+    (folder / "a.json").write_text(json.dumps([{"video_id": "a", "chunk_id": i} for i in range(n[0])], indent=1))
+    (folder / "b.json").write_text("\n".join(json.dumps({"video_id": "b", "text": "[x"}) for _ in range(n[1])))
+    loaded = readers.load_any(spark, f"{folder}/*.json")
+    assert {r["video_id"]: r["count"] for r in loaded.groupBy("video_id").count().collect()} == {"a": n[0], "b": n[1]}
+
+
+@pytest.mark.parametrize(
+    "name, content",
+    [
+        ("x.json", '{"video_id": "v"}\n{"video_id": "w", "te'),
+        ("y.json", '[{"video_id": "v"}, {"video_id": "w"'),
+        ("z.csv", "video_id,chunk_id\nv,1\nw\n"),
+        ("q.csv", "video_id,chunk_id\nv,1,2\n"),
+    ],
+)
+@pytest.mark.parametrize("schema", [None, "video_id string, chunk_id int"])
+def test_broken_records_end_the_run(spark, tmp_path, name, content, schema):
+    from pyspark.sql.types import _parse_datatype_string
+
+    (tmp_path / name).write_text(content)
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|corrupt"):
+        readers.load_any(spark, str(tmp_path / name), _parse_datatype_string(schema) if schema else None).collect()
+
+
+def test_folders_are_parquet_whatever_their_name(spark, tmp_path):
+    frame = spark.createDataFrame(ROWS, SCHEMA)
+    frame.write.parquet(str(tmp_path / "chunks.v2"))
+    for path in (f"file://{tmp_path}/chunks.v2", f"{tmp_path}/chunks.v2", f'\' {tmp_path}/chunks.v2/ \''):
+        assert rows(readers.load_any(spark, path)) == rows(frame)
+
+
+def test_csv_in_several_tasks(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n" + "1,2\n" * 50)
+    assert readers.load_any(spark, str(tmp_path / "x.csv"), multi_line=False).count() == 50
+
+
 def test_load_any_other(spark, tmp_path):
     with pytest.raises(ValueError, match="unsupported"):
         readers.load_any(spark, str(tmp_path / "x.xlsx"))
@@ -58,8 +99,8 @@ def write_segment_files(folder):
 def test_segment_files(spark, tmp_path):
     write_segment_files(tmp_path / "s")
     read = readers.read_segment_files(spark, str(tmp_path / "s"))
-    assert rows(read.filter("video_id <> 'broken'")) == [("a_b", "0", "0.0", "1.5", "가"), ("a_b", "1", "x", "2", None)]
-    assert [r.video_id for r in readers.malformed_segment_files(spark, str(tmp_path / "s")).collect()] == ["broken"]
+    assert rows(read.filter("not broken").drop("broken")) == [("a_b", "0", "0.0", "1.5", "가"), ("a_b", "1", "x", "2", None)]
+    assert [r.video_id for r in read.filter("broken").collect()] == ["broken"]
 
 
 def test_segment_store(spark, tmp_path):
@@ -142,6 +183,12 @@ def test_command_line(spark, tmp_path, capsys):
     main(["summarise", "--input", at("copy"), "--output", at("summaries"), "--top-k", "3"])
     assert rows(readers.read_summaries(spark, at("summaries"))) == [("a_b", "가", "https://youtu.be/a_b")]
     assert [r.video_id for r in spark.read.parquet(at("rejects")).collect()] == ["broken"]
+    again = ["build", "--listing", at("l.json"), "--segments", at("s"), "--images", at("img"), "--output", at("chunks"), "--resume"]
+    before = readers.read_chunks(spark, at("chunks")).count()
+    main(again)
+    assert readers.read_chunks(spark, at("chunks")).count() == before
+    main(["summarise", "--input", at("copy"), "--output", at("summaries"), "--resume", "--rejects", at("unfit"), "--chat-turn", "{role}:{content}"])
+    assert readers.read_summaries(spark, at("summaries")).count() == 1 and spark.read.parquet(at("unfit")).count() == 0
     for job in (["recent", "--as-of", "2025-07-12"], ["search", "--q", "T"]):
         main([*job, "--chunks", at("copy"), "--summaries", at("summaries")])
         assert "2025-07-11" in capsys.readouterr().out
