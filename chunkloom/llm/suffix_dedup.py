@@ -314,6 +314,10 @@ def covered_starts(docs: DataFrame) -> DataFrame:
     open_contexts = several.filter("nth = 1 and (on_left or on_right)")
     counts = cut(open_contexts.groupBy("gram").agg(F.count("*").alias("contexts")), "anchor-counts")
     wanted = open_contexts.join(counts.filter(F.col("contexts") > 1), "gram")
+    # Strings that start HALF or more bytes before the anchor hold its left side, others its right side.
+    first = F.when(F.col("on_left"), F.col("first")).otherwise(F.greatest("first", F.col("place") - HALF + 1))
+    last = F.when(F.col("on_right"), F.col("last")).otherwise(F.least("last", F.col("place") - HALF))
+    wanted = wanted.withColumns({"first": first, "last": last}).filter("first <= last")
     wanted = wanted.groupBy("doc", "tx").agg(F.collect_set(F.struct("gram", "first", "last", (F.col("contexts") > HOT).alias("hot"))).alias("wanted"))
     fetched = cut(docs.join(cut(wanted, "wanted"), ["doc", "tx"]).mapInArrow(_fetch, "gram bigint, doc bigint, tx int, first int, last int, bytes binary"), "contexts")
     bucket = F.pmod(F.xxhash64("gram"), F.lit(blocks_for(fetched.filter("bytes is not null").count(), BUCKET_CONTEXTS)))
