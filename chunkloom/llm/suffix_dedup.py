@@ -12,9 +12,9 @@ of copied passages. They are dealt to buckets by anchor.
 
 In a bucket, shards of the contexts get a suffix array and a Burrows-Wheeler transform
 each. The transforms are merged by refining their interleave: rows go to the bucket of
-their preceding byte, in order, once for each byte of depth. A boundary that appears in
-round h means a common prefix of h - 1 bytes there; intervals without a boundary after
-LENGTH rounds are the repeated strings. No suffix is sorted again for the merge.
+their two preceding bytes, in order, until the order holds for LENGTH bytes. The round in
+which a boundary appears tells the common prefix there; intervals without a boundary at
+the end are the repeated strings. No suffix is sorted again for the merge.
 
 Anchors with very many different contexts are taken apart into single strings, which
 Spark groups by hash with a partial aggregation; no task meets them all.
@@ -43,7 +43,7 @@ BATCH_BYTES = 2 << 20
 HELD_ANCHORS = 1 << 20
 HOT = 4096
 BUCKET_CONTEXTS = 6000
-SHARDS = 3
+SHARDS = 2
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _BYTE = np.random.default_rng(5).integers(1, 2**63, 256).astype(np.uint64)
@@ -195,18 +195,25 @@ def _fetch(batches):
 
 
 class Transform:
-    """Suffix array and Burrows-Wheeler transform of some strings, each with an end of its own."""
+    """Suffix array and Burrows-Wheeler transform of some strings, each with ends of its own.
+
+    With a `step` of 2, a row's preceding symbol is the pair of bytes before it; strings then
+    get two or three ends, so that pairs start at even places of all.
+    """
 
     DIGITS, BITS = 7, 9
 
-    def __init__(self, strings: list[bytes]):
+    def __init__(self, strings: list[bytes], step: int = 1):
         sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-        symbols = np.zeros(int((sizes + 1).sum()), np.uint64)
-        self.start = np.cumsum(sizes + 1) - sizes - 1
-        inside = np.ones(len(symbols), bool)
-        inside[self.start + sizes] = False
-        symbols[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint64) + np.uint64(1)
-        # Ranks of growing prefixes; nothing is read beyond the end of a string.
+        tails = np.ones(len(strings), np.int64) if step == 1 else 2 + sizes % 2
+        symbols = np.zeros(int((sizes + tails).sum()), np.uint64)
+        self.start = np.cumsum(sizes + tails) - sizes - tails
+        self.string = np.repeat(np.arange(len(strings)), sizes + tails)
+        self.step, self.ends = step, int(tails.sum())
+        offset = np.arange(len(symbols)) - self.start[self.string]
+        size = sizes[self.string]
+        symbols[offset < size] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint64) + np.uint64(1)
+        # Ranks of growing prefixes; nothing is read beyond the first end of a string.
         key, alive = np.zeros(len(symbols), np.uint64), np.ones(len(symbols), bool)
         padded = np.concatenate([symbols, np.zeros(self.DIGITS, np.uint64)])
         for j in range(self.DIGITS):
@@ -215,17 +222,18 @@ class Transform:
             alive &= part != 0
         rank = np.unique(key, return_inverse=True)[1]
         depth, longest = self.DIGITS, int(sizes.max(initial=0)) + 1
-        string = np.repeat(np.arange(len(strings)), sizes + 1)
-        left = (self.start + sizes)[string] - np.arange(len(symbols))  # symbols up to the end
         while depth < longest:
             other = np.minimum(np.arange(len(symbols)) + depth, len(symbols) - 1)
-            beyond = np.where(left >= depth, rank[other] + 1, 0)
+            beyond = np.where(size - offset >= depth, rank[other] + 1, 0)
             rank = np.unique(rank * (len(symbols) + 1) + beyond, return_inverse=True)[1]
             depth *= 2
         self.suffixes = np.argsort(rank, kind="stable")
-        before = np.where(self.suffixes == self.start[string[self.suffixes]], 0, symbols[self.suffixes - 1])
-        self.before = before.astype(np.uint16)
-        self.string, self.ends = string, len(strings)
+        # 0 where an end comes before; else the bytes before, as one number.
+        value = np.zeros(len(symbols), np.int64)
+        for j in range(step):
+            value = value << self.BITS | symbols[np.maximum(np.arange(len(symbols)) - step + j, 0)].astype(np.int64)
+        value = np.where((offset < step) | (offset - step >= size), 0, value + 1)
+        self.before = value[self.suffixes]
 
     def places(self):
         """String and offset of each row."""
@@ -233,42 +241,57 @@ class Transform:
         return string, self.suffixes - self.start[string]
 
 
-def merge(shards: list[Transform], depth: int):
-    """Interleaves the rows of transforms: the shard of each row, its common prefix with the row before (at most `depth`)."""
+def merge(shards: list[Transform], depth: int, prefixes: bool = True):
+    """Interleaves the rows of transforms of one step.
+
+    Returns the shard of each row, whether it differs from the row before within `depth`
+    bytes, and with `prefixes` how many they have in common at least (less than a step
+    more, and at most `depth`).
+    """
+    step = shards[0].step
+    symbols = np.unique(np.concatenate([s.before for s in shards]))
+    # The symbols that occur, numbered in few bytes: counting sorts then take one or two passes.
+    code = next((c for c in (np.uint8, np.uint16) if len(symbols) <= np.iinfo(c).max), np.uint32)
+    columns = [np.searchsorted(symbols, s.before).astype(code) for s in shards]
+    # Pairs of a byte and an end: no two of these are equal, either. Later rounds know from the blocks.
+    closing = (symbols > 0) & ((symbols - 1) % (1 << Transform.BITS) == 0) & (step > 1)
     turn = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.before) for s in shards])
     ends = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.ends for s in shards])
     block = np.zeros(len(turn), np.int32)
-    common = np.full(len(turn), depth, np.uint8)
-    common[:1] = 0
-    before = np.empty(len(turn), np.uint16)
+    common = np.full(len(turn), depth, np.uint8) if prefixes else None
+    before = np.empty(len(turn), code)
     new = np.ones(len(turn), bool)
-    for h in range(depth):
-        for z, shard in enumerate(shards):
-            before[turn == z] = shard.before
+    for h in range(0, depth, step):
+        for z, column in enumerate(columns):
+            before[turn == z] = column
         order = np.argsort(before, kind="stable")
         # Ends stay in front, shard by shard; no two are equal.
         turn = turn[order]
         turn[: len(ends)] = ends
-        sorted_before, sorted_block = before[order], block[order]
-        new[1:] = (sorted_before[1:] != sorted_before[:-1]) | (sorted_block[1:] != sorted_block[:-1])
+        by_before, by_block = before[order], block[order]
+        np.not_equal(by_block[1:], by_block[:-1], out=new[1:])
+        new[1:] |= by_before[1:] != by_before[:-1]
         new[: len(ends)] = True
-        np.minimum(common, np.uint8(h), out=common, where=new)
-        block = np.cumsum(new, dtype=np.int32)
-    return turn, common
+        if h == 0:
+            new |= closing[by_before]
+        if prefixes:
+            np.minimum(common, np.uint8(h), out=common, where=new)
+        np.cumsum(new, dtype=np.int32, out=block)
+    return turn, new, common
 
 
 def repeated(strings: list[bytes], depth: int = LENGTH, shards: int = SHARDS):
     """Suffixes that share `depth` bytes with another: (interval, string, offset)."""
     n = max(1, min(shards, len(strings)))
     bounds = [len(strings) * i // n for i in range(n + 1)]
-    parts = [Transform(strings[a:b]) for a, b in zip(bounds, bounds[1:])]
-    turn, common = merge(parts, depth)
+    parts = [Transform(strings[a:b], 1 + (depth % 2 == 0)) for a, b in zip(bounds, bounds[1:])]
+    turn, new, _ = merge(parts, depth, prefixes=False)
     string, offset = np.empty(len(turn), np.int64), np.empty(len(turn), np.int64)
     for z, (part, first) in enumerate(zip(parts, bounds)):
         own = turn == z
         string[own], offset[own] = part.places()
         string[own] += first
-    interval = np.cumsum(common < depth)
+    interval = np.cumsum(new)
     sizes = np.bincount(interval)
     several = sizes[interval] > 1
     return interval[several], string[several], offset[several]

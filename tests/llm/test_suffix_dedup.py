@@ -69,13 +69,15 @@ def order(strings, depth):
     return sorted(((t[o:] + b"\0")[:depth], s, o) for s, t in enumerate(strings) for o in range(len(t) + 1))
 
 
+@pytest.mark.parametrize("step", [1, 2])
 @pytest.mark.parametrize("seed", range(20))
-def test_merged_transforms(seed):
+def test_merged_transforms(seed, step):
     rnd = random.Random(seed)
     strings = [bytes(rnd.choice(b"abc") for _ in range(rnd.randint(1, 40))) for _ in range(rnd.randint(1, 9))]
-    depth = rnd.randint(1, 12)
-    parts = [suffix_dedup.Transform(strings[a : a + 3]) for a in range(0, len(strings), 3)]
-    turn, common = suffix_dedup.merge(parts, depth)
+    depth = step * rnd.randint(1, 8)
+    parts = [suffix_dedup.Transform(strings[a : a + 3], step) for a in range(0, len(strings), 3)]
+    turn, new, common = suffix_dedup.merge(parts, depth)
+    assert (new[1:] == (common[1:] < depth)).all()
     rows = np.empty((len(turn), 2), np.int64)
     for z, part in enumerate(parts):
         own = turn == z
@@ -84,7 +86,7 @@ def test_merged_transforms(seed):
     assert [t[:depth] for t in tails] == sorted(t[:depth] for t in tails)
     for a, b, n in zip(tails, tails[1:], common[1:]):
         same = next((i for i in range(depth) if i >= min(len(a), len(b)) or a[i] != b[i]), depth)
-        assert n == same
+        assert n == same - same % step
 
 
 def test_every_string_has_its_anchor():
