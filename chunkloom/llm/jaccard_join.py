@@ -12,8 +12,8 @@ compared with the members exactly. Members of one group are compared in their gr
 
 Only links that connect something new are returned, never all pairs of a group. A
 query visits groups of larger families only, which finds each link once. The groups
-of one family meet through one of their members first; where that leaves parts
-unconnected, these go through the matrix, too.
+of one family meet in its first group; where that leaves parts unconnected, these go
+through the matrix, too.
 
 Sets are of 64-bit hashes of shingles. Documents with fewer words than a shingle have
 the whole sequence as their one shingle; null and empty texts have an empty set and
@@ -235,7 +235,6 @@ def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule) ->
     away = visits.join(opened, "group").select("id", "group", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("member"))
     errands = at_home.unionByName(away).groupBy("id").agg(F.collect_list(F.struct("group", "part", "member")).alias("errands"))
     ship, shape = _ship(rule)
-    # Merged at every size: the plan, and what is shuffled for a document, stay the same as the table grows.
     shipped = docs.join(cut(errands, "errands").hint("merge"), "id").select("id", "text", "errands").mapInArrow(ship, shape)
     return shipped.groupBy("group", "part").applyInArrow(_open(rule), "a bigint, b bigint")
 
@@ -252,10 +251,10 @@ def visits_of(members: DataFrame, rule: Rule) -> DataFrame:
     cells = cut(cells.filter("low < top").select("token", "id", "n", "group", "rank", "top"), "matrix")
     needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * rule.percent / 100) / 16))
     enough = cells.groupBy("id").agg(F.count("*").alias("cells"), F.min("n").alias("n")).filter(F.col("cells") >= needed).select("id")
-    cells = cells.join(enough, "id", "left_semi")
     asked = cells.filter("rank < top").select("token", "id", "n", F.col("rank").alias("own"))
+    asked = asked.join(enough.hint("merge"), "id", "left_semi")
     held = cells.groupBy("token", "group", "rank").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
-    met = asked.join(held, "token").filter(
+    met = asked.join(held.hint("merge"), "token").filter(
         (F.col("own") < F.col("rank"))
         & (F.col("largest") * 100 >= F.col("n") * rule.percent)
         & (F.col("smallest") * rule.percent <= F.col("n") * 100)
@@ -272,7 +271,9 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
     sets = cut(docs.mapInArrow(early, shape), "sets")
     full = sets.filter("n > 0 and id is not null")
     classes = cut(full.groupBy("class").agg(F.min("id").alias("rep")), "classes")
-    reps = full.join(classes.withColumnRenamed("rep", "id"), ["class", "id"], "left_semi")
+    # Joins with tables that grow with the documents are merged at every size, so that plan and
+    # shuffle of a document stay alike as the table grows.
+    reps = full.join(classes.withColumnRenamed("rep", "id").hint("merge"), ["class", "id"], "left_semi")
 
     # Families, and the groups they are divided into. The groups of a family are numbered by the hash of the id.
     families = cut(
@@ -282,7 +283,7 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
         "families",
     )
     member = (
-        reps.join(families, "family", "left")
+        reps.join(families.hint("merge"), "family", "left")
         .withColumns({"rows": F.coalesce("rows", F.lit(1)), "groups": F.coalesce("groups", F.lit(1))})
         .withColumn("group", F.when(F.col("rows") == 1, F.col("id")).otherwise(F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("groups")))))
     )
@@ -291,11 +292,10 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
 
     visits = visits_of(member.withColumn("rank", F.struct("rows", "family")), rule)
 
-    # The first member of each group of a divided family visits the family's first group.
+    # The members of a divided family visit the family's first group.
     divided = member.filter("groups > 1")
-    hubs = divided.groupBy("family").agg(F.min("group").alias("hub"))
-    heads = divided.groupBy("family", "group").agg(F.min("id").alias("id"))
-    to_hub = heads.join(hubs, "family").filter("group <> hub").select("id", F.col("hub").alias("group"))
+    hubs = cut(divided.groupBy("family").agg(F.min("group").alias("hub")), "hubs")
+    to_hub = divided.join(hubs, "family").filter("group <> hub").select("id", F.col("hub").alias("group"))
     found = cut(links(docs, home, visits.union(to_hub), rule), "links")
     joined = connected(found)
 
