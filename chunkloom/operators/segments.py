@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions import dates, text, urls
 
+MOST_PHRASES = 2000
 UNREAD = "segment file is not valid JSON"
 # So many chunk numbers of a video go to one partition.
 BLOCK = 1000
@@ -24,7 +25,16 @@ def strip_and_drop_blank(segments: DataFrame) -> DataFrame:
 
 
 def drop_stop_phrases(segments: DataFrame, phrases) -> DataFrame:
-    """Drop every segment whose text holds one of the phrases."""
+    """Drop every segment whose text holds one of the phrases, given as texts or as a table.
+
+    A table has them in its first column; it is read at once and may hold MOST_PHRASES.
+    """
+    if isinstance(phrases, DataFrame):
+        column = phrases.columns[0]
+        rows = phrases.filter(F.col(column).isNotNull()).select(column).distinct().limit(MOST_PHRASES + 1).collect()
+        if len(rows) > MOST_PHRASES:
+            raise ValueError(f"more than {MOST_PHRASES} phrases")
+        phrases = sorted(row[0] for row in rows)
     phrases = list(phrases)
     if not phrases:
         return segments

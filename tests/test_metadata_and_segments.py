@@ -1,5 +1,6 @@
 """Listing, repair, segments and the work still to do."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from chunkloom.operators import embedding, metadata, pending, segments
@@ -186,3 +187,10 @@ def test_repair_sorts_nothing(spark):
     sources = spark.createDataFrame([("v", "t", "20250711"), ("v", "u", "broken"), ("w", "u", "20250712")], VIDEO)
     assert "SortAggregate" not in plan(metadata._found(frame.select("video_id"), sources, frame))
     assert rows(metadata.repair(frame, sources, frame)) == [("v", "t", "2025-07-11")]
+
+
+def test_phrases_from_a_table(spark):
+    table = spark.createDataFrame([("stop here",), ("stop here",), (None,)], "phrase string")
+    assert rows(build(spark, phrases=table).chunks.drop("embedding")) == rows(build(spark).chunks.drop("embedding"))
+    with pytest.raises(ValueError, match="phrases"):
+        build(spark, phrases=spark.range(3000).select(F.col("id").cast("string")))
