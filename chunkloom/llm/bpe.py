@@ -237,7 +237,7 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
 
 
 def digests(coded: DataFrame) -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 in front of the other columns' place: ids and decoded are replaced by them."""
+    """n_tokens, ids_sha256 and decoded_sha256 in place of ids and decoded."""
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         *[c for c in coded.columns if c not in ("ids", "decoded")],

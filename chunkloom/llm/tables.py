@@ -17,12 +17,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def hex_sha256(data: bytes) -> str:
-    import hashlib
-
-    return hashlib.sha256(data).hexdigest()
-
-
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo `parts`; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
