@@ -221,11 +221,12 @@ def _ship(rule: Rule):
     return run, "group bigint, part int, member boolean, id bigint, set binary"
 
 
-def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule) -> DataFrame:
+def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule, few: bool = False) -> DataFrame:
     """Opens groups: links (a, b) inside them and of their visitors.
 
     members: (id, group) of all classes, visits: (id, group). A group with many visitors
-    is opened in several tasks, each with all members.
+    is opened in several tasks, each with all members. With `few` the choice of the join
+    with the texts is left to Spark and the size of the errands.
     """
     visits = visits.distinct()
     counts = visits.groupBy("group").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("parts"))
@@ -235,7 +236,8 @@ def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule) ->
     away = visits.join(opened, "group").select("id", "group", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("member"))
     errands = at_home.unionByName(away).groupBy("id").agg(F.collect_list(F.struct("group", "part", "member")).alias("errands"))
     ship, shape = _ship(rule)
-    shipped = docs.join(cut(errands, "errands").hint("merge"), "id").select("id", "text", "errands").mapInArrow(ship, shape)
+    errands = cut(errands, "errands")
+    shipped = docs.join(errands if few else errands.hint("merge"), "id").select("id", "text", "errands").mapInArrow(ship, shape)
     return shipped.groupBy("group", "part").applyInArrow(_open(rule), "a bigint, b bigint")
 
 
@@ -307,7 +309,7 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
     late = cut(visits_of(rest.join(parts, "component").withColumn("rank", F.struct("size", "component")), rule), "late")
     if not late.isEmpty():
         their = home.join(late.select("group").distinct(), "group", "left_semi").select("id", "group")
-        joined = connected(found.union(links(docs, their, late, rule)))
+        joined = connected(found.union(links(docs, their, late, rule, few=True)))
     of_class = classes.join(joined, classes.rep == joined.node, "left").select("class", F.coalesce("component", "rep").alias("component"))
     out = sets.join(cut(of_class, "class-components"), "class", "left")
     own = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
