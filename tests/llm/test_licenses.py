@@ -13,7 +13,7 @@ def test_lines_paragraphs_and_texts(spark):
     assert matches(spark, "words\nReleased under the MIT  licence License.\nmore")[0] == []
     found, where = matches(spark, "Intro with several words here.\nReleased  under the MIT License!\nmore\n")
     assert found == ["MIT"] and [(m.kind, m["at"], m.dice) for m in where] == [("line", 1, 1.0)]
-    found, where = matches(spark, "This work is licensed under the\nGNU General Public License, version 3.\n\nother text here")
+    found, where = matches(spark, "This work is licensed under the\nGNU General Public License, version 3.\n\nother text here with more words than the notice has, so that the whole is far from it")
     assert found == ["GPL-3.0"] and {m.kind for m in where} == {"paragraph"}
     found, _ = matches(spark, "This is free and unencumbered\n\nsoftware released into the public domain")
     assert found == ["Unlicense"]
