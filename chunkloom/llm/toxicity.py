@@ -3,12 +3,14 @@
 Words and their first bytes are hashed; each hash seen in enough training texts has
 an embedding, all others count as zero. Filters of several widths run over the
 summed embeddings, the maximum of each filter over the whole text goes into a
-logistic output. Training and calibration use a bounded sample of labelled rows;
-scoring reads every whole text, batch by batch, and shuffles nothing.
+logistic output. Fitting uses a bounded sample of labelled rows. All labelled rows
+that were not fitted on are scored for the thresholds: tasks count labels by language
+and bin of the log odds, and the sums of all rows decide. Scoring reads every whole
+text, batch by batch, and shuffles nothing.
 
 Only the text goes into a score. Language chooses the threshold of the decision.
 Null and empty texts have no words and get the score of an empty text. A row with
-a null language uses the common threshold. Labels that are null, or without a
+a null language, or one with too few toxic rows, uses the common threshold. Labels that are null, or without a
 document, are left out; a document labelled twice counts as toxic if one label
 says so. Without any usable label all scores are 0. Document rows keep their other
 columns; repeated rows get equal scores.
@@ -21,10 +23,12 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkloom.llm.decontamination import words
+from chunkloom.llm.scratch import cut as stored
 from chunkloom.llm.tables import text_runs, with_columns
 
 SAMPLE_ROWS = 5000
@@ -39,6 +43,8 @@ BATCH = 32
 RATE = 0.01
 THRESHOLD = 0.7
 MIN_POSITIVES = 20
+BINS = 64  # score bins for a unit of the log odds, which lie between -60 and 60
+SEED = 7
 BATCH_BYTES = 2 << 20
 
 
@@ -113,16 +119,21 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(np.asarray(x, dtype=np.float64), -60, 60)))
 
 
-def fit(texts: list[bytes | None], labels: np.ndarray, langs: list, seed: int = 7) -> Model:
+def _split(n: int, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Rows to fit on, four fifths, and the others."""
+    order = rng.permutation(n)
+    cut = n - n // 5
+    return order[:cut], order[cut:]
+
+
+def fit(texts: list[bytes | None], labels: np.ndarray, langs: list, seed: int = SEED) -> Model:
     """Trains on four fifths of the rows and calibrates the thresholds on the others."""
     rng = np.random.default_rng(seed)
     n_out = FILTERS * len(WIDTHS)
     empty = Model(np.zeros(0, np.uint32), np.zeros((1, DIM), np.float32), [], np.zeros(n_out, np.float32), np.zeros(n_out, np.float32), -60.0)
     if not len(labels) or not labels.any():
         return empty
-    order = rng.permutation(len(labels))
-    cut = len(order) - len(order) // 5
-    train, held = order[:cut], order[cut:]
+    train, held = _split(len(labels), rng)
     hashed = {i: hashes(words(texts[i])) for i in train}
     seen, times = np.unique(np.concatenate([np.unique(h) for h in hashed.values()]), return_counts=True)
     known = seen[times >= MIN_TEXTS]
@@ -193,34 +204,58 @@ def _train(model: Model, rows: dict, labels: np.ndarray, train: np.ndarray, rng)
 
 def _thresholds(scores: np.ndarray, labels: np.ndarray, langs: list) -> dict[str, float]:
     """By language, the threshold of the best F1; languages with few toxic rows keep the common one."""
-    out = {}
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([x == lang for x in langs])
-        s, y = scores[own], labels[own]
+    return _best((lang, 1, y, s, s) for s, y, lang in sorted(zip(scores, labels, langs), key=lambda x: -x[0]))
+
+
+def _best(bins) -> dict[str, float]:
+    """The thresholds from (lang, rows, toxic rows, smallest score, largest score), largest scores first."""
+    out, of_lang = {}, {}
+    for lang, *counts in bins:
+        if lang is not None:
+            of_lang.setdefault(lang, []).append(counts)
+    for lang, own in sorted(of_lang.items()):
+        n, y, low, high = (np.array(x, dtype=np.float64) for x in zip(*own))
         if y.sum() < MIN_POSITIVES:
             continue
-        order = np.argsort(-s, kind="stable")
-        s, y = s[order], y[order]
-        ends = np.flatnonzero(np.diff(s, append=-1))  # a cut lies between different scores
+        ends = np.flatnonzero(np.append(high[1:] != low[:-1], True))  # a cut lies between different scores
         hits = np.cumsum(y)[ends]
-        best = ends[np.argmax(2 * hits / (ends + 1 + y.sum()))]
-        below = s[best + 1] if best + 1 < len(s) else 0.0
-        out[lang] = float((s[best] + below) / 2)
+        best = ends[np.argmax(2 * hits / (np.cumsum(n)[ends] + y.sum()))]
+        below = high[best + 1] if best + 1 < len(n) else 0.0
+        out[lang] = float((low[best] + below) / 2)
     return out
 
 
+def calibrate(docs: DataFrame, labelled: DataFrame, model: Model) -> dict[str, float]:
+    """By language, the threshold of the best F1 over all rows of `labelled` (doc_id, toxic).
+
+    Cuts lie between bins of the log odds. Runs a job; at most a row per language
+    with enough toxic rows and bin comes to the driver.
+    """
+    rows = docs.select("doc_id", "text", "lang").join(labelled, "doc_id")
+    scored = classify(rows.withColumn("hash", F.xxhash64("text")), model).select("doc_id", "lang", "toxic", "hash", "score")
+    once = scored.groupBy("doc_id").agg(F.min_by("score", "hash").alias("score"), F.min("lang").alias("lang"), F.max("toxic").alias("toxic"))
+    odds = F.log(F.col("score") / (1 - F.col("score")))
+    bin_ = F.when(F.col("score") >= 1, 60 * BINS).otherwise(F.floor(F.greatest(odds, F.lit(-60.0)) * BINS))
+    counted = (
+        once.filter("lang is not null")
+        .groupBy("lang", bin_.alias("bin"))
+        .agg(F.count("*").alias("n"), F.sum("toxic").alias("y"), F.min("score").alias("low"), F.max("score").alias("high"))
+        .withColumn("toxic", F.sum("y").over(W.partitionBy("lang")))
+        .filter(F.col("toxic") >= MIN_POSITIVES)
+    )
+    bins = counted.select("lang", "n", "y", "low", "high").collect()
+    return _best(sorted((tuple(r) for r in bins), key=lambda r: -r[3]))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits a model on at most `sample_rows` labelled documents, drawn by the hash of their id.
 
-    `docs` needs doc_id, text and lang; `labels` needs doc_id and toxic. Runs a job.
+    The thresholds come from all labelled documents that it was not fitted on. `docs`
+    needs doc_id, text and lang; `labels` needs doc_id and toxic. Runs jobs.
     """
-    sample = (
-        labels.filter("doc_id is not null and toxic is not null")
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("_toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample_rows)
-    )
+    usable = labels.filter("doc_id is not null and toxic is not null")
+    labelled = stored(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labelled")
+    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).withColumnRenamed("toxic", "_toxic")
     # At most sample_rows pairs of numbers are broadcast.
     rows = (
         docs.select("doc_id", "text", "lang")
@@ -231,7 +266,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     )
     rows.sort(key=lambda r: r.doc_id)
     texts = [None if r.text is None else r.text.encode() for r in rows]
-    return fit(texts, np.array([r.toxic for r in rows], dtype=np.float32), [r.lang for r in rows])
+    model = fit(texts, np.array([r.toxic for r in rows], dtype=np.float32), [r.lang for r in rows])
+    if model.filters:
+        fitted = [(rows[i].doc_id,) for i in _split(len(rows), np.random.default_rng(SEED))[0].tolist()]
+        known = docs.sparkSession.createDataFrame(fitted, "doc_id bigint")
+        model.thresholds = calibrate(docs, labelled.join(F.broadcast(known), "doc_id", "left_anti"), model)
+    return model
 
 
 def _score(held, lang: str | None):

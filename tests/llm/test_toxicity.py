@@ -61,3 +61,20 @@ def test_sample_is_bounded_and_repeatable(spark):
     labels = spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(toxic)], LABELS)
     first, second = (toxicity.train(docs.repartition(n), labels, sample_rows=120) for n in (1, 3))
     assert np.array_equal(first.vectors, second.vectors) and first.base == second.base
+
+
+def test_thresholds_cover_all_rows_not_fitted_on(spark):
+    texts, toxic = labelled(900)
+    langs = ["en" if i % 3 else "fr" if i % 9 else None for i in range(900)]
+    docs = samples.documents(spark, texts).drop("lang").join(spark.createDataFrame(list(enumerate(langs)), "doc_id bigint, lang string"), "doc_id")
+    labels = spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(toxic)], LABELS)
+    model = toxicity.train(docs, labels, sample_rows=250)
+    assert set(model.thresholds) == {"en", "fr"}  # 50 rows of the sample held few toxic rows in fr
+    drawn = [r.doc_id for r in labels.orderBy(toxicity.F.xxhash64("doc_id"), "doc_id").limit(250).select("doc_id").collect()]
+    fitted = {sorted(drawn)[i] for i in toxicity._split(250, np.random.default_rng(toxicity.SEED))[0]}
+    scores = model.score([t.encode() for t in texts])
+    f1 = lambda own, cut: 2 * toxic[own][scores[own] >= cut].sum() / ((scores[own] >= cut).sum() + toxic[own].sum())
+    for lang, cut in model.thresholds.items():
+        own = np.array([i for i in range(900) if langs[i] == lang and i not in fitted])
+        assert len(fitted) == 200 and f1(own, cut) >= max(f1(own, s) for s in scores[own]) - 0.01
+    assert model.threshold(None) == toxicity.THRESHOLD
