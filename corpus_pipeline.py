@@ -32,12 +32,34 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return changed.select(*docs.columns)
 
 
+def grouped(docs: DataFrame, before: DataFrame) -> DataFrame:
+    """(doc_id, component_id) over the texts of `docs`, and over those of `before` for ids whose text has changed since.
+
+    The earlier texts are compared under numbers beyond all ids, since rows of one id are
+    one document to the join.
+    """
+    now, then = (df.select("doc_id", F.xxhash64("text").alias("hash")) for df in (docs.filter("doc_id is not null"), before))
+    last = docs.agg(F.max("doc_id")).first()[0]
+    number = F.monotonically_increasing_id() + F.lit(0 if last is None else last + 1)
+    changed = cut(now.join(then, ["doc_id", "hash"], "left_anti").select("doc_id").distinct().withColumn("number", number), "changed")
+    earlier = before.join(changed, "doc_id").select(F.col("number").alias("doc_id"), "text")
+    groups = jaccard_join.components(docs.select("doc_id", "text").unionByName(earlier), NEAR)
+    owner = changed.select(F.col("doc_id").alias("owner"), F.col("number").alias("doc_id"))
+    member = cut(groups.join(owner, "doc_id", "left").select(F.coalesce("owner", "doc_id").alias("doc_id"), "component_id"), "near-copies")
+    # Where the smallest number is not that of the smallest document; most components have none to mend.
+    head = member.filter("doc_id is not null").groupBy("component_id").agg(F.min("doc_id").alias("head")).filter("head <> component_id")
+    return member.join(cut(head, "heads"), "component_id", "left").select("doc_id", F.coalesce("head", "component_id").alias("component_id"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, once."""
-    groups = cut(jaccard_join.components(docs, NEAR), "near-copies")
-    copies = groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    """The document with the smallest id of each group of near copies, once.
+
+    What line dedup leaves of a copy no longer resembles the original, so that documents
+    it has changed are compared both as they are now and as they were.
+    """
+    copies = grouped(docs, read(spark, sf_dir, "documents")).filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
     kept = docs.join(cut(copies, "copies"), "doc_id", "left_anti")
-    repeated = cut(groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    repeated = cut(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
     if not repeated.isEmpty():
         once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)

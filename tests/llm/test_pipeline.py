@@ -74,6 +74,22 @@ def test_stages_against_plain_versions(spark, folder):
         assert r.n_tokens == len(r.token_ids) and r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
 
 
+def test_no_piece_of_a_copy_of_many_lines_is_left(spark, tmp_path):
+    texts = {i: "\n".join(samples.words(1000 * i + j, 8, 3000) for j in range(30)) for i in range(1, 9)}
+    rows = [*texts.items(), *((100 + i, t) for i, t in texts.items())]
+    for i, t in texts.items():
+        own = t.split("\n")
+        rows.append((200 + i, "\n".join([*own[:i], f"edit {i} " + own[i], *own[i + 1 :]])))
+        rows.append((300 + i, f"a new head {i}\n{t}\na new end {i}"))
+    rows.append((400, "\n".join([samples.words(4000, 60, 3000), *texts[1].split("\n")[:9], samples.words(4001, 60, 3000)])))
+    samples.documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    pieces = corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path))
+    assert pieces.filter("doc_id between 100 and 399").count() > 20
+    left = corpus_pipeline.drop_near_copies(spark, pieces, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in left if r.doc_id < 400} == texts and len(left) == 9
+
+
 def test_run_gives_the_last_stage(spark, folder):
     got = corpus_pipeline.run(spark, folder[0])
     assert got.columns == [*COLUMNS, "token_ids", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 200
