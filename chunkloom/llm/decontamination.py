@@ -1,16 +1,16 @@
 """Benchmark decontamination with positional inverted indexes.
 
-The index is distributed by documents: each task stores, for the documents it
-reads, the positions of every word that occurs in test items, as posting lists by
-word. A test window starts from the posting list of its rarest word there; the
-lists of its other words, moved by their offsets in the window, then thin these
-places out, rarer words first. What is left are exact phrase matches. For
-proximity, all words of a window only have to occur, in any order, in a stretch of a
-given number of words.
-
-Postings stay with their documents, so no list of a frequent word meets in one
-task, and nothing is shuffled. Test items come to the tasks in blocks of bounded
-size, one after another.
+The index is distributed by documents: each task notes, for about 4 MB of the documents
+it reads at a time, the positions of every word that occurs in test items. A test window
+starts from the posting list of the word that is rarest in these documents; its other
+words are then compared with the words at their offsets in the texts, rarer ones first.
+What is left are exact phrase matches. For proximity, all words of a window only have
+to occur, in any order, in a stretch of a given number of words.
+
+Postings stay with their documents and are dropped after them, so no list of a frequent
+word meets in one task, and nothing is shuffled. Test items come in blocks of bounded
+size, one stage after another; all blocks are held at once, so the benchmark as a whole
+has to fit into memory.
 
 Words are runs of digits, letters after lower-casing A-Z, and characters beyond
 ASCII. Null and empty texts have no words and no matches; items without words have
