@@ -3,11 +3,12 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkloom.llm import bpe, decontamination, jaccard_join, licenses, line_dedup, ppm, sharding, suffix_dedup, topk, toxicity
+from chunkloom.llm import bpe, decontamination, jaccard_join, licenses, line_dedup, packing, ppm, sharding, spelling, suffix_dedup, topk, toxicity, whitening
 from chunkloom.llm.tables import fold, read
 
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PACKED_VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_bpe(spark, folder):
@@ -135,6 +136,28 @@ def op10_toxicity(spark, folder):
     )
 
 
+def op11_whitening(spark, folder):
+    vectors = read(spark, folder, "embeddings")
+    done = whitening.transform(vectors, whitening.fit(vectors, most=32))
+    return done.select(
+        "vec_id",
+        "n",
+        "deviation",
+        "identity_error",
+        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "own"),
+    ).select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "own.whitened", "own.explained", "identity_error")
+
+
+def op12_spelling(spark, folder):
+    return spelling.variants(read(spark, folder, "documents"), shortest=7, fewest=2, ratio=10)
+
+
+def op13_packing(spark, folder):
+    vocabulary = packing.read_vocabulary(public_tokenizers.path(PACKED_VOCABULARY))
+    packed = packing.pack(read(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN, size=1024)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 _LITERAL = ", ".join("('{}', {}, '{}')".format(n, i, b.replace("'", "''")) for i, (n, b) in enumerate(sorted(licenses.TEMPLATES)))
 OP7_SQL = f"""
 with u as (select doc_id, 'line' as kind, unnest(string_split(text, chr(10))) as text, unnest(range(len(string_split(text, chr(10))))) as nth from documents
@@ -168,6 +191,9 @@ PAIRS = {
     "op10_toxicity": (op10_toxicity, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op4_exact_topk": (op4_exact_topk, OP4_SQL),
+    "op11_whitening": (op11_whitening, None),
+    "op12_spelling": (op12_spelling, None),
+    "op13_packing": (op13_packing, None),
 }
 
 
