@@ -21,6 +21,7 @@ between words. An empty table gives no words. Only the id and the text are read,
 columns may have any names.
 """
 
+import functools
 import itertools
 import re
 import zlib
@@ -192,32 +193,32 @@ def replaced(word: str, old: str, new: str):
     return {word[:i] + new + word[i + 1 :] for i, c in enumerate(word) if c == old}
 
 
-def near_words(a: list, b: list, out: list, into: list):
-    """Pairs ((word, n), (word, n)) at one edit, from the words of two close multisets.
+def near_words(a: dict, b: dict, out: list, into: list):
+    """Pairs of words at one edit, from the words of two close multisets.
 
     out: what only the first multiset has, into: what only the second has.
     """
-    others = dict(b)
     if out:  # a letter `out` becomes the letter `into`
-        for word, n in a:
+        for word in a:
             for other in replaced(word, out[0][0], into[0][0]):
-                if other in others:
-                    yield (word, n), (other, others[other])
+                if other in b:
+                    yield word, other
     else:  # the second has the letter `into` besides
-        shorter = dict(a)
-        for word, n in b:
+        for word in b:
             for other in replaced(word, into[0][0], ""):
-                if other in shorter:
-                    yield (other, shorter[other]), (word, n)
+                if other in a:
+                    yield other, word
 
 
-_CLASS = "letters string, words array<struct<word:string,n:bigint>>"
+#: The words of a multiset with their numbers, all separated by spaces.
+_CLASS = "letters string, words string"
 _ROW = "hash bigint, side int, dropped int, " + _CLASS
 _NEAR = "word string, n_near bigint, form_n bigint, form string"
 
 
-def _spelled(batch, name: str) -> list:
-    return [[(x["word"], x["n"]) for x in row] for row in batch.column(batch.schema.get_field_index(name)).to_pylist()]
+def _spelled(text: str) -> dict[str, int]:
+    parts = text.split(" ")
+    return dict(zip(parts[::2], map(int, parts[1::2])))
 
 
 def _signed(dealt: dict, parts: int):
@@ -240,28 +241,32 @@ def _verified(dealt: dict, parts: int):
     """Per word: how many near words, and the best of them, of the pairs of a batch."""
 
     def run(batches):
+        held_dimensions = functools.lru_cache(1 << 16)(lambda letters: frozenset(dimensions(letters)))
         for batch in batches:
             best: dict[str, list] = {}
 
-            def note(word, other):
-                held = best.setdefault(word[0], [0, 0, ""])
+            def note(word, other, n):
+                held = best.get(word)
+                if held is None:
+                    best[word] = [1, n, other]
+                    return
                 held[0] += 1
-                if (-other[1], other[0]) < (-held[1], held[2]) or held[0] == 1:
-                    held[1], held[2] = other[1], other[0]
+                if n > held[1] or n == held[1] and other < held[2]:
+                    held[1], held[2] = n, other
 
-            cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            left, right = _spelled(batch, "a_words"), _spelled(batch, "b_words")
-            rows = zip(cols["side"].to_pylist(), cols["dropped"].to_pylist(), cols["a_letters"].to_pylist(), cols["b_letters"].to_pylist(), left, right)
+            rows = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("side", "dropped", "a_letters", "b_letters", "a_words", "b_words")))
             for side, dropped, a, b, a_words, b_words in rows:
-                out, into = difference(a, b)
+                left, right = held_dimensions(a), held_dimensions(b)
+                out, into = list(left - right), list(right - left)
                 if side == SAME:
                     close = len(out) == len(into) == 1 and agreed_signature(out[0], into[0], dealt, parts) == dropped
                 else:
                     close = not out and len(into) == 1
                 if close:
-                    for x, y in near_words(a_words, b_words, out, into):
-                        note(x, y)
-                        note(y, x)
+                    a_counts, b_counts = _spelled(a_words), _spelled(b_words)
+                    for x, y in near_words(a_counts, b_counts, out, into):
+                        note(x, y, b_counts[y])
+                        note(y, x, a_counts[x])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(best), pa.string()), *(pa.array([v[i] for v in best.values()], kind) for i, kind in ((0, pa.int64()), (1, pa.int64()), (2, pa.string())))],
                 names=["word", "n_near", "form_n", "form"],
@@ -280,7 +285,7 @@ def near(counted: DataFrame, parts: int = PARTS) -> DataFrame:
     large = cut(lettered.groupBy("letters").count().filter(F.col("count") > CLASS_WORDS), "large-classes")
     dealt_rows = F.coalesce(F.ceil(F.col("count") / CLASS_WORDS), F.lit(1))
     split = lettered.join(large, "letters", "left").withColumn("row", F.pmod(F.xxhash64("word"), dealt_rows))
-    classes = cut(split.groupBy("letters", "row").agg(F.collect_list(F.struct("word", "n")).alias("words")).drop("row"), "letter-classes")
+    classes = cut(split.groupBy("letters", "row").agg(F.array_join(F.collect_list(F.concat_ws(" ", "word", "n")), " ").alias("words")).drop("row"), "letter-classes")
     copies = classes.select("letters", F.explode(F.split("letters", "")).alias("letter")).filter("letter <> ''")
     held = copies.groupBy("letters", "letter").count()
     per_copy = held.select("letter", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"))).alias("k")).groupBy("letter", "k").count()
