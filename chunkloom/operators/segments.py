@@ -3,9 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.functions import dates, text, urls
-
-MOST_PHRASES = 2000
+from chunkloom.functions import dates, phrases as many, text, urls
+from chunkloom.session import stored
+
+# Up to so many phrases are compared one by one, inside the JVM.
+FEW_PHRASES = 64
+# Phrases of so many bytes together are sent to all tasks; more are joined with the texts.
+PHRASE_BYTES = 32 << 20
+# Letters of the parts by which more phrases are joined.
+_GRAM = 6
 UNREAD = "segment file is not valid JSON"
 # So many chunk numbers of a video go to one partition.
 BLOCK = 1000
@@ -24,21 +30,62 @@ def strip_and_drop_blank(segments: DataFrame) -> DataFrame:
     return stripped.filter((F.col("text") != "") | _broken(segments))
 
 
-def drop_stop_phrases(segments: DataFrame, phrases) -> DataFrame:
-    """Drop every segment whose text holds one of the phrases, given as texts or as a table.
+def _layers(table: DataFrame) -> DataFrame:
+    """(raw, phrase) of a table with phrases in its first column: as written and bare, each once."""
+    own = F.col(table.columns[0])
+    both = F.explode(F.array(*[F.struct(F.lit(raw).alias("raw"), phrase.alias("phrase")) for raw, phrase in ((True, F.lower(own)), (False, text.normalise(own)))]))
+    return table.filter(own.isNotNull()).select(both.alias("own")).select("own.*").filter("phrase <> ''").distinct()
+
+
+def _grams(value):
+    """All runs of _GRAM letters; a shorter text is the only one of its own."""
+    runs = F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{_GRAM}}}))"), F.lit(1))
+    return F.when(F.length(value) < _GRAM, F.array(value)).otherwise(F.array_distinct(runs))
 
-    A table has them in its first column; it is read at once and may hold MOST_PHRASES.
+
+def _texts_with(texts: DataFrame, layers: DataFrame) -> DataFrame:
+    """The texts that hold a phrase, by joins: each phrase meets the texts that share its rarest part.
+
+    Runs a job that stores the phrases with their part, the one that fewest phrases share. Phrases shorter than a part have
+    lengths below _GRAM, and meet the runs of these lengths.
+    """
+    parts = layers.filter(F.length("phrase") >= _GRAM).select("raw", "phrase", F.explode(_grams(F.col("phrase"))).alias("gram"))
+    shared = parts.groupBy("raw", "gram").agg(F.count("*").alias("shared"))
+    rarest = parts.join(shared, ["raw", "gram"]).groupBy("raw", "phrase").agg(F.min(F.struct("shared", "gram")).alias("best")).select("raw", "phrase", "best.gram")
+    short = layers.filter(F.length("phrase") < _GRAM).select("raw", "phrase", F.col("phrase").alias("gram"))
+    keyed = stored(rarest.unionByName(short), "phrases")
+    lengths = [r[0] for r in keyed.filter(F.length("gram") < _GRAM).select(F.length("gram")).distinct().collect()]
+    distinct = texts.select("text").filter("text is not null").distinct()
+    found = []
+    for raw, value in ((True, F.lower("text")), (False, text.normalise(F.col("text")))):
+        runs = [F.regexp_extract_all("value", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in [_GRAM, *lengths]]
+        grams = distinct.withColumn("value", value).withColumn("gram", F.explode(F.array_distinct(F.concat(*runs))))
+        met = grams.join(keyed.filter(F.col("raw") == raw), "gram").filter(F.contains("value", "phrase"))
+        found.append(met.select("text"))
+    return found[0].union(found[1]).distinct()
+
+
+def drop_stop_phrases(segments: DataFrame, phrases, phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
+    """Drop every segment whose text holds one of the phrases, given as texts or as a table with them in its first column.
+
+    A phrase counts where it occurs as written (ignoring case) or after normalising both
+    sides. Their number is not limited, and hardly changes the time: an index of them goes to all tasks
+    up to `phrase_bytes`, beyond they are joined with the texts. A table is read at once, to tell its size.
     """
-    if isinstance(phrases, DataFrame):
-        column = phrases.columns[0]
-        rows = phrases.filter(F.col(column).isNotNull()).select(column).distinct().limit(MOST_PHRASES + 1).collect()
-        if len(rows) > MOST_PHRASES:
-            raise ValueError(f"more than {MOST_PHRASES} phrases")
-        phrases = sorted(row[0] for row in rows)
-    phrases = list(phrases)
-    if not phrases:
-        return segments
-    return segments.filter(~text.has_stop_phrase(F.col("text"), phrases) | _broken(segments))
+    if not isinstance(phrases, DataFrame):
+        phrases = list(phrases)
+        if len(phrases) <= FEW_PHRASES:
+            return segments.filter(~text.has_stop_phrase(F.col("text"), phrases) | _broken(segments)) if phrases else segments
+        phrases = segments.sparkSession.createDataFrame([(p,) for p in phrases], "phrase string")
+    layers = stored(_layers(phrases), "phrase-layers")
+    size = layers.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
+    if size > phrase_bytes:
+        return segments.join(stored(_texts_with(segments, layers), "texts-with-phrases"), "text", "left_anti").select(*segments.columns)
+    raw, bare = [], []
+    for row in layers.toLocalIterator():
+        (raw if row.raw else bare).append(row.phrase)
+    hit = many.holds_any(segments.sparkSession, (F.lower("text"), raw), (text.normalise(F.col("text")), bare))
+    return segments.filter(~hit | _broken(segments))
 
 
 def type_columns(segments: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.functions import folding
+
 LISTING = ("video_id", "title", "upload_date")
 
 
@@ -17,16 +19,14 @@ def latest_per_title(chunks: DataFrame) -> DataFrame:
 
     Full ISO dates sort like their text, so their maximum is taken over dates: over
     text, Spark would have to sort the chunks before grouping them. Other texts are
-    grouped by themselves first, as there are few different ones per video.
+    gathered as a set, which holds few for a video.
     """
     own = F.col("upload_date")
     date = F.try_to_date(own)
     iso = F.coalesce(date.cast("string") == own, F.lit(False))
-    keys = ["video_id", "title"]
-    odd = F.when(~iso, own)
-    by_text = chunks.groupBy(*keys, odd.alias("_odd")).agg(F.max(F.when(iso, date)).alias("_date"))
-    largest = F.array_max(F.concat(F.collect_set("_odd"), F.array_compact(F.array(F.max("_date").cast("string")))))
-    return by_text.groupBy(*keys).agg(largest.alias("upload_date"))
+    gathered = chunks.groupBy("video_id", "title").agg(F.max(F.when(iso, date)).alias("_date"), F.collect_set(F.when(~iso, own)).alias("_odd"))
+    largest = F.array_max(F.concat("_odd", F.array_compact(F.array(F.col("_date").cast("string")))))
+    return gathered.select("video_id", "title", largest.alias("upload_date"))
 
 
 def with_summary(listing: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -54,16 +54,27 @@ def _like_pattern(q: str) -> str:
 def title_matches(title: Column, q: str, collation: str | None = None) -> Column:
     """Titles containing q, in which % and _ are wildcards.
 
-    `collation` names a Spark collation to compare in: 'UTF8_LCASE' ignores case;
-    'UNICODE_CI_AI' ignores case and accents, but Spark has no wildcards for it.
+    `collation` tells what is ignored: 'UTF8_LCASE' case, in Spark's collation of that name;
+    'UNICODE_CI_AI' case and accents, letter by letter, as the wildcards of a database do.
     """
     if collation is None:
         return title.like(_like_pattern(q))
     if collation == "UTF8_LCASE":
         return F.collate(title, collation).like(_like_pattern(q))
-    if "%" in q or "_" in q:
-        raise ValueError(f"wildcards cannot be used with the collation {collation}")
-    return F.contains(F.collate(title, collation), F.collate(F.lit(q), collation))
+    if collation == "UNICODE_CI_AI":
+        return folding.fold(title).like(_like_pattern(folding.fold_literal(q)))
+    raise ValueError(f"titles cannot be searched in the collation {collation}")
+
+
+def literal_pieces(q: str) -> list[str]:
+    """The texts between the wildcards of q, in order."""
+    pieces = [""]
+    for escaped, letter in re.findall(r"(\\?)(.)", q, flags=re.DOTALL):
+        if letter in "%_" and not escaped:
+            pieces.append("")
+        else:
+            pieces[-1] += letter
+    return [p for p in pieces if p]
 
 
 def first_by_id(table: DataFrame, video_id: str) -> DataFrame:

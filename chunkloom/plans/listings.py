@@ -2,12 +2,12 @@
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom import fixed_values as fv
 from chunkloom.functions import dates, urls
-from chunkloom.operators import serving
+from chunkloom.operators import listing_state, serving, title_index
 
 
 def recent(
@@ -41,6 +41,29 @@ def search(
     return catalogue(chunks, summaries, n)
 
 
+def keep_listing(new_chunks: DataFrame, state: str, index: str) -> None:
+    """Bring the kept listing and the index of titles up to date with new chunks, which are all that is read of the chunks."""
+    listing = new_chunks.select(*serving.LISTING)
+    listing_state.append(listing, state)
+    title_index.append(listing, index)
+
+
+def kept_catalogue(spark: SparkSession, state: str, summaries: DataFrame, n: int = fv.CATALOGUE_LIMIT) -> DataFrame:
+    """`catalogue` from the kept listing: reads its newest months, and no chunks."""
+    return listing_state.newest(spark, state, summaries, n)
+
+
+def kept_search(
+    spark: SparkSession, state: str, index: str, summaries: DataFrame, q: str, n: int = fv.CATALOGUE_LIMIT, collation: str | None = None
+) -> DataFrame:
+    """`search` from the kept listing and the index of titles: reads the parts of the index that q needs, and no chunks."""
+    if not q:
+        return kept_catalogue(spark, state, summaries, n)
+    found = title_index.matching(spark, index, q, collation)
+    listing = listing_state.read(spark, state).join(found, ["video_id", "title"], "left_semi")
+    return serving.newest(serving.with_summary(listing, summaries), n)
+
+
 def summary_of(summaries: DataFrame, video_id: str) -> DataFrame:
     """Summary, page URL and player URL of one video; no row when it has no summary."""
     return serving.first_by_id(summaries, video_id).select(

@@ -28,6 +28,26 @@ def stop_phrase_filter(spark, folder):
     return segments.drop_stop_phrases(docs, STOP_PHRASES).select("doc_id")
 
 
+def _phrase_table(spark, folder):
+    """Fifty pieces of each document, of nine letters and digits at least; those of every other place read backwards."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(49))).alias("k"))
+    piece = F.substr("text", F.col("k") * 41 + 1, F.col("k") % 8 + 11)
+    long_enough = docs.withColumn("piece", piece).filter(F.length(text.normalise(F.col("piece"))) >= 9)
+    return long_enough.select(F.when(F.col("k") % 2 == 0, F.col("piece")).otherwise(F.reverse("piece")).alias("phrase"))
+
+
+def stop_phrase_many(spark, folder):
+    """Turns without any of the pieces of the documents: 50,000 phrases on a thousand documents."""
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "text")
+    return segments.drop_stop_phrases(turns, _phrase_table(spark, folder)).select("conv_id", "turn")
+
+
+def stop_phrase_joined(spark, folder):
+    """The same by joins, as for phrases that are too many for each task to hold."""
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "text")
+    return segments.drop_stop_phrases(turns, _phrase_table(spark, folder), phrase_bytes=0).select("conv_id", "turn")
+
+
 def _echoed(spark, folder):
     """Conversation texts with prompt remains, of another kind for each turn."""
     own = F.col("text")
@@ -179,6 +199,17 @@ _SQL_ECHOED = """
     else text end as raw
   from conversations"""
 
+_SQL_MANY = r"""
+  with k as (select text, unnest(range(50)) as k from documents),
+  pieces as (select k, substr(text, k * 41 + 1, k % 8 + 11) as piece from k),
+  p as (select case when k % 2 = 0 then piece else reverse(piece) end as p from pieces
+    where length(regexp_replace(piece, '[^\p{L}\p{N}]+', '', 'g')) >= 9),
+  raw as (select distinct lower(p) as p from p where p <> ''),
+  bare as (select distinct lower(regexp_replace(p, '[^\p{L}\p{N}]+', '', 'g')) as p from p where regexp_replace(p, '[^\p{L}\p{N}]+', '', 'g') <> ''),
+  t as (select conv_id, turn, lower(text) as r, lower(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g')) as b from conversations),
+  hit as (select conv_id, turn from t join raw on contains(r, p) union select conv_id, turn from t join bare on contains(b, p))
+  select conv_id, turn from conversations anti join hit using (conv_id, turn)"""
+
 PAIRS = {
     "text_normalised": (text_normalised, f"select doc_id, {_BARE.format('text')} as bare from documents"),
     "strip_blank": (
@@ -186,6 +217,8 @@ PAIRS = {
         "select conv_id, turn, trim(text, ' ' || chr(10)) as text from conversations where turn % 4 < 2 and trim(text) <> ''",
     ),
     "stop_phrase_filter": (stop_phrase_filter, f"select doc_id from documents where not ({_SQL_WORDS} or {_SQL_BARE})"),
+    "stop_phrase_many": (stop_phrase_many, _SQL_MANY),
+    "stop_phrase_joined": (stop_phrase_joined, _SQL_MANY),
     "echo_strip": (echo_strip, f"select conv_id, turn, once, twice from ({_sql_clean_twice(_SQL_ECHOED, 'raw').replace('* exclude (once), ', '*, ', 1)})"),
     "sentence_cap": (
         sentence_cap,
