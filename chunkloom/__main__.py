@@ -44,7 +44,8 @@ def _prompt(args) -> dict:
 
 
 def build_chunks(spark, args) -> None:
-    done = readers.read_chunks(spark, args.output) if args.resume else None
+    # A daily job finds no table on its first day.
+    done = readers.read_chunks(spark, args.output) if args.resume and readers.exists(spark, args.output) else None
     built = build.build_chunks(
         readers.read_listing(spark, args.listing),
         _inventory(spark, args.segments) or readers.read_segment_files(spark, args.segments),
@@ -56,6 +57,7 @@ def build_chunks(spark, args) -> None:
         _model(args.model),
         args.partitions,
         None if done is None else stored(done.select("video_id").distinct(), "done"),
+        with_rejects=args.rejects is not None,
     )
     writers.write_chunks(built.chunks, args.output, keep=args.resume)
     if args.rejects:
@@ -99,7 +101,8 @@ def search(spark, args) -> None:
 
 
 def summary(spark, args) -> None:
-    listings.summary_of(readers.read_summaries(spark, args.summaries), args.video_id).show(1, truncate=False)
+    found = readers.read_summaries_of(spark, args.summaries, args.video_id)
+    listings.summary_of(found, args.video_id).show(1, truncate=False)
 
 
 def _parser() -> argparse.ArgumentParser:

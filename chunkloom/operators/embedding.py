@@ -5,6 +5,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.functions.guarded import guard
+
 DEFAULT_DIM = 256
 
 
@@ -25,3 +27,9 @@ def embed(chunks: DataFrame, model=None, dim: int = DEFAULT_DIM) -> DataFrame:
     return scaled.withColumn("embedding", vector_to_array("_unit")).drop(
         "_text", "_words", "_counts", "_unit"
     )
+
+
+def embed_guarded(chunks: DataFrame, model) -> DataFrame:
+    """Like `embed` with a model; where it fails on a text, `embedding` is null and `model_error` tells why."""
+    tried = chunks.withColumn("_made", guard(model)(F.col("text")))
+    return tried.withColumns({"embedding": F.col("_made.value").cast("array<double>"), "model_error": F.col("_made.error")}).drop("_made")

@@ -24,17 +24,13 @@ def _best_first():
     return F.desc_nulls_last("sim"), F.asc_nulls_last("chunk_id"), F.col("text")
 
 
-def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
-    """One row per video: its number of rows, of valid vectors, of vector sizes, and the mean unit vector.
+def vector_sums(chunks: DataFrame, embedding: str) -> DataFrame:
+    """(video_id, size, n, total): per batch, video and vector size, how many unit vectors and their sum.
 
-    The null video id is a group like any other. Vectors are summed per batch and
-    per task first, so that a hot video sends one row per task, and as a whole
-    rather than element by element, which would multiply the rows by the vector
-    size. Vectors of different size cannot be added and are kept apart by
-    grouping on it.
+    Rows without a usable vector have size 0 and no total. Vectors are summed as a whole
+    rather than element by element, which would multiply the rows by the vector size.
     """
-    vector = vectors.as_array(chunks, embedding).alias("vector")
-    keyed = chunks.select("video_id", vector)
+    keyed = chunks.select("video_id", vectors.as_array(chunks, embedding).alias("vector"))
     partial = T.StructType(
         [
             keyed.schema["video_id"],
@@ -43,19 +39,20 @@ def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
             T.StructField("total", T.ArrayType(T.DoubleType())),
         ]
     )
-    # Rows without a vector have size 0 and are given a total that is not used.
+    return keyed.mapInArrow(batches.partial_sums, partial)
+
+
+def merged_sums(sums: DataFrame) -> DataFrame:
+    """The same table with one row per video and size. Sums are added per task first, so that a hot video sends one row per task."""
+    # Rows without a vector are given a total that is not used.
     total = array_to_vector(F.coalesce("total", F.array(F.lit(0.0))))
-    by_size = (
-        keyed.mapInArrow(batches.partial_sums, partial)
-        .groupBy("video_id", "size")
-        .agg(F.sum("n").alias("n"), Summarizer.sum(total).alias("total"))
-        .select(
-            "video_id",
-            "n",
-            F.when(F.col("size") > 0, F.col("n")).otherwise(0).alias("n_valid"),
-            F.when(F.col("size") > 0, vector_to_array("total")).alias("total"),
-        )
-    )
+    added = sums.groupBy("video_id", "size").agg(F.sum("n").alias("n"), Summarizer.sum(total).alias("total"))
+    return added.select("video_id", "size", "n", F.when(F.col("size") > 0, vector_to_array("total")).alias("total"))
+
+
+def mean_of_sums(sums: DataFrame) -> DataFrame:
+    """The table of `centroids` from sums, whether merged or not."""
+    by_size = merged_sums(sums).withColumn("n_valid", F.when(F.col("size") > 0, F.col("n")).otherwise(0))
     per_video = by_size.groupBy("video_id").agg(
         F.sum("n").alias("n_rows"),
         F.sum("n_valid").alias("n_vectors"),
@@ -68,6 +65,15 @@ def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
     )
 
 
+def centroids(chunks: DataFrame, embedding: str) -> DataFrame:
+    """One row per video: its number of rows, of valid vectors, of vector sizes, and the mean unit vector.
+
+    The null video id is a group like any other. Vectors of different size cannot be added
+    and are kept apart by grouping on it.
+    """
+    return mean_of_sums(vector_sums(chunks, embedding))
+
+
 def stored_centroids(chunks: DataFrame, embedding: str) -> DataFrame:
     """Runs a job: the centroids as a table of known size, see `session.stored`."""
     return stored(centroids(chunks, embedding), "centroids")

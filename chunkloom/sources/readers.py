@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from chunkloom import schemas
 from chunkloom.functions import urls
+from chunkloom.sources import writers
 
 _HAS_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]+://")
 
@@ -31,6 +32,11 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(place) and files.getFileStatus(place).isDirectory()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CHUNKS).parquet(path)
 
@@ -87,17 +93,11 @@ def _video_id_of_file() -> Column:
     return F.regexp_extract("_metadata.file_name", r"^(.*)_segments\.json$", 1).alias("video_id")
 
 
-def read_segment_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Segments of all `<video_id>_segments.json` files, each a JSON array.
-
-    Columns: video_id, id, start, end, text, broken. Other keys are ignored. A file that is
-    not valid JSON gives a row that is `broken` and otherwise null, after the segments
-    before the fault; `plans.build` rejects it.
-    """
+def _segment_files(reader, folder: str) -> DataFrame:
     text = T.StructField("_corrupt_record", T.StringType())
     names = schemas.SEGMENTS.fieldNames()
     return (
-        spark.read.schema(T.StructType([*schemas.SEGMENTS.fields, text]))
+        reader.schema(T.StructType([*schemas.SEGMENTS.fields, text]))
         .option("multiLine", True)
         .option("pathGlobFilter", "*_segments.json")
         .json(folder)
@@ -105,10 +105,32 @@ def read_segment_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def read_segment_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments of all `<video_id>_segments.json` files, each a JSON array.
+
+    Columns: video_id, id, start, end, text, broken. Other keys are ignored. A file that is
+    not valid JSON gives a row that is `broken` and otherwise null, after the segments
+    before the fault; `plans.build` rejects it.
+    """
+    return _segment_files(spark.read, folder)
+
+
+def stream_segment_files(spark: SparkSession, folder: str) -> DataFrame:
+    """`read_segment_files` as a stream: each file once, also those added later."""
+    return _segment_files(spark.readStream, folder)
+
+
+_STORED_SEGMENTS = T.StructType([*schemas.SEGMENTS.fields, T.StructField("video_id", T.StringType())])
+
+
+def stream_segments(spark: SparkSession, path: str) -> DataFrame:
+    """`read_segments` as a stream: each file once, also those added later."""
+    return spark.readStream.schema(_STORED_SEGMENTS).json(path).select("video_id", *schemas.SEGMENTS.fieldNames())
+
+
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """Segments as `writers.write_segments` stores them; video ids stay text."""
-    schema = T.StructType([*schemas.SEGMENTS.fields, T.StructField("video_id", T.StringType())])
-    return spark.read.schema(schema).json(path).select("video_id", *schemas.SEGMENTS.fieldNames())
+    return spark.read.schema(_STORED_SEGMENTS).json(path).select("video_id", *schemas.SEGMENTS.fieldNames())
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -138,3 +160,20 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     """Summary table as `writers.write_summaries` stores it; video ids stay text."""
     return spark.read.schema(schemas.SUMMARIES).parquet(path).select(*schemas.SUMMARIES.fieldNames())
+
+
+def read_summaries_of(spark: SparkSession, path: str, video_id: str) -> DataFrame:
+    """The rows of one video in a summary table: only the bucket of its id is opened.
+
+    Runs no job: the number of buckets is in the names of the folders. A table without buckets is read whole.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    number = writers.held_buckets(status.getPath().getName() for status in listed)
+    own = F.col("video_id") == video_id
+    if number is None:
+        return read_summaries(spark, path).filter(own)
+    column = f"{writers._BUCKET}{number}"
+    schema = T.StructType([*schemas.SUMMARIES.fields, T.StructField(column, T.IntegerType())])
+    rows = spark.read.schema(schema).parquet(path).filter((F.col(column) == writers.bucket(number, F.lit(video_id))) & own)
+    return rows.select(*schemas.SUMMARIES.fieldNames())

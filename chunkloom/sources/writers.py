@@ -1,7 +1,7 @@
 """Sinks for segments, chunk tables and summaries."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom import schemas
@@ -11,6 +11,17 @@ BUCKETS = 64
 _BUCKET = "bucket_of_"
 
 
+def bucket(number: int, video_id) -> Column:
+    """The bucket of a video in a table of so many."""
+    return F.pmod(F.xxhash64(video_id), F.lit(number)).cast("int")
+
+
+def held_buckets(names) -> int | None:
+    """The number of buckets of a table, from the names of its columns or folders."""
+    held = [int(name.removeprefix(_BUCKET).partition("=")[0]) for name in names if name.startswith(_BUCKET)]
+    return held[0] if held else None
+
+
 def write_segments(segments: DataFrame, path: str) -> None:
     """Append segments as UTF-8 JSON Lines, one folder per video.
 
@@ -52,12 +63,11 @@ def write_summaries(summaries: DataFrame, path: str, buckets: int | None = None)
     existing = stored_summaries(fresh.sparkSession, path)
     number = buckets or BUCKETS
     if existing is not None:
-        held = [int(name.removeprefix(_BUCKET)) for name in existing.columns if name.startswith(_BUCKET)]
-        if not held:
+        number = held_buckets(existing.columns)
+        if number is None:
             raise ValueError(f"not a table of bucketed summaries: {path}")
-        number = held[0]
     column = f"{_BUCKET}{number}"
-    fresh = fresh.withColumn(column, F.pmod(F.xxhash64("video_id"), F.lit(number)).cast("int"))
+    fresh = fresh.withColumn(column, bucket(number, "video_id"))
     rows = fresh
     if existing is not None:
         # The new rows are used three times; kept in a table, no summary is made twice.
@@ -69,7 +79,7 @@ def write_summaries(summaries: DataFrame, path: str, buckets: int | None = None)
             "left_anti",
         )
         rows = fresh.unionByName(others)
-    # Sorted, so that a lookup by id skips most of each file.
+    # Sorted, so that a lookup by id skips most of each file, and with a filter that tells which ids it lacks.
     sorted_rows = rows.repartition(column).sortWithinPartitions(column, "video_id")
     writer = sorted_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(column).parquet(path)
+    writer.option("parquet.bloom.filter.enabled#video_id", "true").partitionBy(column).parquet(path)

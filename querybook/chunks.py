@@ -4,7 +4,9 @@ orders stand for a video listing, lineitem and customer for the two sources of
 missing dates, conversations for segments, labels for finished work.
 """
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from chunkloom.operators import embedding, metadata, pending, segments
 from chunkloom.plans import build
@@ -138,14 +140,46 @@ def segment_counts(spark, folder):
 
 
 def default_embedding(spark, folder):
-    """Size and length of the hashed word vectors; blank texts have the zero vector."""
-    turns = read(spark, folder, "conversations").withColumn("text", F.when(F.col("turn") % 3 != 0, F.col("text")))
+    """Size and length of the hashed word vectors, and the places of the words: blank texts have the zero vector.
+
+    Each turn has its role as text, once, twice or thrice, besides a word of its own: the
+    element of the role is as many times as large as that of the other word.
+    """
+    times = F.col("turn").cast("int") % 3
+    turns = read(spark, folder, "conversations").withColumn("text", F.when(times != 0, F.concat(F.repeat(F.concat("role", F.lit(" ")), times), F.lit("word"))))
     length = F.aggregate("embedding", F.lit(0.0), lambda a, e: a + e * e)
+    filled = F.filter("embedding", lambda e: e > 0)
     return embedding.embed(turns).select(
-        "conv_id", "turn", F.size("embedding").cast("bigint").alias("elements"), F.round(length, 6).alias("length")
+        "conv_id",
+        "turn",
+        F.size("embedding").cast("bigint").alias("elements"),
+        F.round(length, 6).alias("length"),
+        F.array_join(F.transform(F.array_sort(filled), lambda e: F.format_number(e, 4)), " ").alias("filled"),
     )
 
 
+@F.pandas_udf(ArrayType(DoubleType()))
+def _picky(texts: pd.Series) -> pd.Series:
+    """A model that fails on a batch with a text whose number of letters is a multiple of seven."""
+    for text in texts:
+        if len(text) % 7 == 0:
+            raise ValueError(f"{len(text)} letters")
+    return texts.map(lambda text: [float(len(text)), 1.0])
+
+
+def model_rejects(spark, folder):
+    """What the build makes of documents with such a model: chunks and rejects, each with its reason."""
+    docs = read(spark, folder, "documents").withColumn("text", F.trim(F.regexp_replace("text", r"[^\x21-\x7e]+", " ")))
+    segments_of = docs.select(
+        F.col("doc_id").cast("string").alias("video_id"), F.lit("1").alias("id"), F.lit("0").alias("start"), F.lit("1.5").alias("end"), "text"
+    )
+    entries = docs.select(F.col("doc_id").cast("string").alias("id"), "lang", F.lit("20250711").alias("upload_date")).withColumnRenamed("lang", "title")
+    images = docs.select(F.col("doc_id").cast("string").alias("video_id"), F.lit(1).alias("chunk_id"))
+    built = build.build_chunks(entries, segments_of, images, model=_picky)
+    kept = built.chunks.select("video_id", F.element_at("embedding", 1).alias("letters"), F.lit(None).cast("string").alias("reject_reason"))
+    return kept.unionByName(built.rejects.select("video_id", F.lit(None).cast("double").alias("letters"), "reject_reason"))
+
+
 def _built(spark, folder, which=None, done=None):
     turn = F.col("turn")
     turns = read(spark, folder, "conversations").select(
@@ -259,9 +293,17 @@ PAIRS = {
     "default_embedding": (
         default_embedding,
         """
-  select conv_id, turn, cast(256 as bigint) as elements,
-         case when turn % 3 <> 0 and trim(text) <> '' then 1.0::double else 0.0::double end as length
+  select conv_id, turn, cast(256 as bigint) as elements, case when turn % 3 <> 0 then 1.0::double else 0.0::double end as length,
+         case turn % 3 when 0 then '' when 1 then '0.7071 0.7071' else '0.4472 0.8944' end as filled
   from conversations""",
+    ),
+    "model_rejects": (
+        model_rejects,
+        r"""
+  with d as (select doc_id, length(trim(regexp_replace(text, '[^\x21-\x7e]+', ' ', 'g'))) as n from documents)
+  select cast(doc_id as varchar) as video_id, case when n % 7 <> 0 then cast(n as double) end as letters,
+         case when n % 7 = 0 then 'model failed: ValueError: ' || n || ' letters' end as reject_reason
+  from d where n > 0""",
     ),
     "build_rerun": (build_rerun, _SQL_CHUNKS),
     "chunk_table": (chunk_table, _SQL_CHUNKS),

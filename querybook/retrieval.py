@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from chunkloom import fixed_values as fv
 from chunkloom.functions import batches
-from chunkloom.operators import retrieval, summaries
+from chunkloom.operators import kept_sums, retrieval, summaries
 from chunkloom.plans import summarise
+from chunkloom.session import scratch_path
 from querybook.tables import read
 
 
@@ -74,6 +75,18 @@ def centroid_values(spark, folder):
     )
 
 
+def centroid_incremental(spark, folder):
+    """The means from sums that two builds have kept, each of which has chunks of every video; the second ran twice."""
+    path = scratch_path(spark, "sums")
+    chunks = _vectors(spark, folder)
+    for build, part in (("one", 0), ("two", 1), ("two", 1)):
+        kept_sums.append(chunks.filter(F.pmod(F.xxhash64("chunk_id"), F.lit(2)) == part), path, build)
+    table = kept_sums.centroids(spark, path)
+    return table.select("video_id", "n_rows", F.posexplode("centroid").alias("pos", "value")).withColumn(
+        "value", F.round("value", 6) + 0.0
+    )
+
+
 def chunk_similarity(spark, folder):
     chunks = _vectors(spark, folder)
     scored = retrieval.similarities(chunks, retrieval.stored_centroids(chunks, "embedding"), "embedding")
@@ -238,6 +251,12 @@ PAIRS = {
         f"""
   with {_SQL_UNITS}
   select video_id, n as n_rows, cast(pos as integer) as pos, round(m, 6) + 0.0 as value from means""",
+    ),
+    "centroid_incremental": (
+        centroid_incremental,
+        f"""
+  with {_SQL_UNITS}
+  select cast(video_id as varchar) as video_id, n as n_rows, cast(pos as integer) as pos, round(m, 6) + 0.0 as value from means""",
     ),
     "chunk_similarity": (
         chunk_similarity,

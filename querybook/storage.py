@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from chunkloom.session import scratch_path
-from chunkloom.plans import export
+from chunkloom.plans import export, listings
 from chunkloom.sources import database, readers, writers
+from chunkloom.streaming import ingest
 from querybook.tables import read
 
 
@@ -113,6 +114,34 @@ def summary_rerun_other_buckets(spark, folder):
     return _rerun(spark, folder, 8, 16)
 
 
+def summary_lookup_pruned(spark, folder):
+    """A summary from the stored table, whose other buckets are not opened, and an id that it lacks."""
+    path = scratch_path(spark, "summaries")
+    part = read(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("video_id"),
+        F.col("p_name").alias("summary_text"),
+        F.concat(F.lit("https://youtu.be/"), F.col("p_partkey").cast("string")).alias("video_url"),
+    )
+    writers.write_summaries(part, path)
+    found = [listings.summary_of(readers.read_summaries_of(spark, path, key), key) for key in ("70", "-1")]
+    return found[0].unionByName(found[1])
+
+
+def segment_ingest(spark, folder):
+    """Segments that arrive in three parts, with a run after each and one when nothing is new."""
+    arrived, path, checkpoint = (scratch_path(spark, name) for name in ("arrived", "segments", "checkpoint"))
+    own = F.col("turn").cast("string")
+    turns = read(spark, folder, "conversations").select(
+        F.lpad(F.col("conv_id").cast("string"), 6, "0").alias("video_id"), own.alias("id"), own.alias("start"), own.alias("end"), "text"
+    )
+    for part in (0, 1, 2, None):
+        if part is not None:
+            new = turns.filter(F.pmod(F.xxhash64("video_id", "id"), F.lit(3)) == part).coalesce(2)
+            new.write.mode("append").json(arrived)
+        ingest.catch_up(readers.stream_segments(spark, arrived), path, checkpoint)
+    return spark.read.parquet(path)
+
+
 def listing_scan(spark, folder):
     """Listings of a hundred entries per file, some with keys that are not read."""
     path = scratch_path(spark, "listings")
@@ -197,6 +226,19 @@ PAIRS = {
     "summary_rerun": (summary_rerun, _SQL_RERUN),
     "summary_rerun_buckets": (summary_rerun_buckets, _SQL_RERUN),
     "summary_rerun_other_buckets": (summary_rerun_other_buckets, _SQL_RERUN),
+    "summary_lookup_pruned": (
+        summary_lookup_pruned,
+        """
+  select p_name as summary_text, 'https://youtu.be/' || p_partkey as video_url, 'https://www.youtube.com/embed/' || p_partkey as embed_url
+  from part where p_partkey = 70""",
+    ),
+    "segment_ingest": (
+        segment_ingest,
+        """
+  select lpad(cast(conv_id as varchar), 6, '0') as video_id, cast(turn as varchar) as id, cast(turn as varchar) as start,
+         cast(turn as varchar) as end, text
+  from conversations""",
+    ),
     "listing_scan": (
         listing_scan,
         "select cast(o_orderkey as varchar) as id, o_orderpriority as title, strftime(o_orderdate, '%Y%m%d') as upload_date from orders",

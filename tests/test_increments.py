@@ -1,0 +1,198 @@
+"""Work that is done once: kept sums, pruned lookups, faults of models, files that arrive."""
+
+import glob
+import json
+import os
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType
+
+from chunkloom.functions import guarded
+from chunkloom.operators import kept_sums, retrieval
+from chunkloom.plans import build, summarise
+from chunkloom.sources import readers, writers
+from chunkloom.streaming import ingest
+from tests.helpers import rows
+from tests.test_kept_listings import spoil
+
+VECTORS = "video_id string, chunk_id int, text string, embedding array<double>"
+
+
+def vectors(spark, videos=12, chunks=9):
+    rng = np.random.default_rng(3)
+    data = [
+        (f"v{v}" if v else None, c, f"text {v} {c}.", None if (v + c) % 7 == 0 else rng.normal(size=4 if v != 5 else 2 + c % 2).tolist())
+        for v in range(videos)
+        for c in range(chunks)
+    ]
+    return spark.createDataFrame(data, VECTORS)
+
+
+def same_table(got, want):
+    flat = lambda df: {r.video_id: (r.n_rows, r.n_vectors, r.n_sizes, r.centroid) for r in df.collect()}
+    got, want = flat(got), flat(want)
+    assert got.keys() == want.keys()
+    for video, (*counts, centroid) in want.items():
+        assert list(got[video][:3]) == counts
+        assert (got[video][3] is None) == (centroid is None) and (centroid is None or got[video][3] == pytest.approx(centroid))
+
+
+def test_kept_sums_give_the_means_of_all_chunks(spark, tmp_path):
+    chunks, path = vectors(spark), str(tmp_path / "sums")
+    for name, where in (("a", "chunk_id < 3"), ("b", "chunk_id >= 3 and chunk_id < 5"), ("c", "chunk_id >= 5"), ("c", "chunk_id >= 5")):
+        kept_sums.append(chunks.filter(where), path, name)
+    same_table(kept_sums.centroids(spark, path), retrieval.centroids(chunks, "embedding"))
+    some = spark.createDataFrame([("v3",), (None,)], "video_id string")
+    same_table(kept_sums.centroids(spark, path, some), retrieval.centroids(chunks.filter("video_id = 'v3' or video_id is null"), "embedding"))
+
+
+def test_summaries_of_changed_videos_read_no_old_vectors_for_the_mean(spark, tmp_path):
+    chunks, sums, old_place = vectors(spark), str(tmp_path / "sums"), str(tmp_path / "old")
+    chunks.filter("chunk_id < 5").write.parquet(old_place)
+    kept_sums.append(spark.read.parquet(old_place), sums, "first")
+    new = chunks.filter("chunk_id >= 5 and video_id in ('v2', 'v5', 'v7')")
+    made = summarise.summarise_changed(spark, chunks.filter("chunk_id < 5").unionByName(new), new, sums, "second", top_k=3)
+    known = chunks.filter("chunk_id < 5 or video_id in ('v2', 'v5', 'v7')").filter("video_id in ('v2', 'v5', 'v7')")
+    want = summarise.summarise_videos(known, 3)
+    assert rows(made.summaries) == rows(want.summaries) and rows(made.rejects) == rows(want.rejects)
+    before = rows(kept_sums.centroids(spark, sums).select("video_id", "n_rows"))
+    assert spoil(old_place, []) > 0
+    assert rows(kept_sums.centroids(spark, sums).select("video_id", "n_rows")) == before
+
+
+def test_lookup_opens_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "summaries")
+    data = [(f"v{i}", f"about {i}", f"u{i}") for i in range(300)]
+    writers.write_summaries(spark.createDataFrame(data, "video_id string, summary_text string, video_url string"), path, 16)
+    bucket = spark.range(1).select(writers.bucket(16, F.lit("v7"))).first()[0]
+    assert spoil(path, [f"bucket_of_16={bucket}/"]) == 15
+    assert rows(readers.read_summaries_of(spark, path, "v7")) == [data[7]]
+
+
+def test_lookup_in_a_table_without_buckets(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.createDataFrame([("a", "b", "c")], "video_id string, summary_text string, video_url string").write.parquet(path)
+    assert rows(readers.read_summaries_of(spark, path, "a")) == [("a", "b", "c")]
+    assert rows(readers.read_summaries_of(spark, path, "x")) == []
+
+
+def test_ids_have_a_bloom_filter(spark, tmp_path):
+    path = str(tmp_path / "summaries")
+    data = spark.range(50).select(F.col("id").cast("string").alias("video_id"), F.lit("s").alias("summary_text"), F.lit("u").alias("video_url"))
+    writers.write_summaries(data, path, 1)
+    place = spark._jvm.org.apache.hadoop.fs.Path(glob.glob(f"{path}/*/*.parquet")[0])
+    source = spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(place, spark._jsc.hadoopConfiguration())
+    reader = spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    columns = list(reader.getFooter().getBlocks().get(0).getColumns())
+    assert {c.getPath().toDotString(): c.getBloomFilterOffset() >= 0 for c in columns} == {"video_id": True, "summary_text": False, "video_url": False}
+    reader.close()
+
+
+def by_letters(texts: pd.Series) -> pd.Series:
+    if any(t is not None and "bad" in t for t in texts):
+        raise RuntimeError("no " + next(t for t in texts if t is not None and "bad" in t))
+    return texts.map(lambda t: None if t is None else [float(len(t))])
+
+
+def test_halving_finds_the_rows_that_fail():
+    calls = []
+
+    def run(texts):
+        calls.append(len(texts))
+        return list(by_letters(texts))
+
+    texts = pd.Series([f"t{i}" if i not in (3, 40, 99) else f"bad{i}" for i in range(100)])
+    values, errors = guarded.attempt(run, texts)
+    assert [i for i, e in enumerate(errors) if e] == [3, 40, 99] and errors[40] == "RuntimeError: no bad40"
+    assert all((v is None) != (e is None) for v, e in zip(values, errors)) and len(calls) < 60
+
+
+@pytest.mark.parametrize("kind", ["plain", "iterating", "arrow"])
+def test_guarded_models(spark, kind):
+    returns = ArrayType(DoubleType())
+    if kind == "plain":
+        model = F.pandas_udf(by_letters, returns)
+    elif kind == "iterating":
+        from collections.abc import Iterator
+
+        @F.pandas_udf(returns)
+        def model(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield by_letters(texts)
+
+    else:
+        import pyarrow as pa
+
+        @F.arrow_udf(returns)
+        def model(texts: pa.Array) -> pa.Array:
+            return pa.array(by_letters(texts.to_pandas()).tolist(), pa.list_(pa.float64()))
+
+    texts = ["a", "bad one", None, "bbb", "bad", ""] * 50
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(3)
+    got = {r.i: (r.made.value, r.made.error) for r in frame.select("i", guarded.guard(model)("text").alias("made")).collect()}
+    want = {"a": ([1.0], None), None: (None, None), "bbb": ([3.0], None), "": ([0.0], None)}
+    assert got == {i: want.get(t, (None, f"RuntimeError: no {t}")) for i, t in enumerate(texts)}
+
+
+def test_wrong_number_of_results_is_a_fault():
+    values, errors = guarded.attempt(guarded._Running(lambda texts: texts[:-1], False, False), pd.Series(["a", "b"]))
+    assert values == [None, None] and errors[0] == "ValueError: 0 results for 1 rows"
+
+
+def test_build_rejects_texts_that_the_model_fails_on(spark):
+    entries = spark.createDataFrame([("v", "t", "20250101")], "id string, title string, upload_date string")
+    parts = spark.createDataFrame([("v", str(i), "0", "1", t) for i, t in enumerate(["fine", "bad", "ok"])], "video_id string, id string, start string, end string, text string")
+    images = spark.createDataFrame([], "video_id string, chunk_id int")
+    built = build.build_chunks(entries, parts, images, model=F.pandas_udf(by_letters, ArrayType(DoubleType())))
+    assert rows(built.chunks.select("chunk_id", "embedding")) == [(0, [4.0]), (2, [2.0])]
+    assert rows(built.rejects) == [("v", "1", "0.0", "1.0", "bad", "model failed: RuntimeError: no bad")]
+
+
+def test_summaries_reject_prompts_that_the_model_fails_on(spark):
+    @F.pandas_udf(StringType())
+    def model(prompts: pd.Series) -> pd.Series:
+        if any(p is not None and "text 3" in p for p in prompts):
+            raise KeyError("three")
+        return prompts.map(lambda p: None if p is None else "Made.")
+
+    made = summarise.summarise_videos(vectors(spark).drop("embedding").filter("video_id is not null"), model=model)
+    assert {r.video_id: r.reject_reason for r in made.rejects.collect()} == {"v3": "model failed: KeyError: 'three'"}
+    assert {r.video_id: r.summary_text for r in made.summaries.collect()} == {f"v{i}": "Made." for i in range(1, 12) if i != 3}
+
+
+def put(folder, video, n):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{video}_segments.json", "w") as file:
+        json.dump([{"id": i, "start": i, "end": i + 1, "text": f"{video} {i}"} for i in range(n)], file)
+
+
+def test_catch_up_takes_each_file_once(spark, tmp_path):
+    folder, path, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    want = []
+    for day, videos in enumerate([["a", "b"], [], ["c"]]):
+        for video in videos:
+            put(folder, video, day + 2)
+            want += [(video, str(i), f"{video} {i}") for i in range(day + 2)]
+        ingest.catch_up(readers.stream_segment_files(spark, folder), path, checkpoint)
+        assert rows(spark.read.parquet(path).select("video_id", "id", "text")) == sorted(want)
+
+
+def test_catch_up_after_a_stop(spark, tmp_path):
+    """The files of a run are planned and written, but the run ends before it says so."""
+    folder, path, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    put(folder, "a", 3)
+    ingest.catch_up(readers.stream_segment_files(spark, folder), path, checkpoint)
+    put(folder, "b", 2)
+    ingest.catch_up(readers.stream_segment_files(spark, folder), path, checkpoint)
+    last = max(glob.glob(f"{checkpoint}/commits/[0-9]*"), key=lambda name: int(os.path.basename(name)))
+    os.remove(last)
+    crc = os.path.join(os.path.dirname(last), f".{os.path.basename(last)}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    put(folder, "c", 1)
+    ingest.catch_up(readers.stream_segment_files(spark, folder), path, checkpoint)
+    got = rows(spark.read.parquet(path).select("video_id", "id"))
+    assert got == [("a", "0"), ("a", "1"), ("a", "2"), ("b", "0"), ("b", "1"), ("c", "0")]

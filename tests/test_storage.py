@@ -178,7 +178,7 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "stop.txt").write_text("나\n")
     at = lambda name: str(tmp_path / name)
     main(["build", "--listing", at("l.json"), "--segments", at("s"), "--images", at("img"), "--phrases", at("stop.txt"),
-          "--output", at("chunks"), "--rejects", at("rejects")])
+          "--output", at("chunks"), "--rejects", at("rejects"), "--resume"])  # on the first day nothing is there
     main(["export", "--input", at("chunks"), "--copy-to", at("copy")])
     main(["summarise", "--input", at("copy"), "--output", at("summaries"), "--top-k", "3"])
     assert rows(readers.read_summaries(spark, at("summaries"))) == [("a_b", "가", "https://youtu.be/a_b")]
