@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chunkloom.llm.tables import text_runs, with_columns
+from chunkloom.llm.tables import runs, text_runs, with_columns
 
 BATCH_BYTES = 1 << 20
 LONG_WORD = 256
-WORDS_AT_ONCE = 8192
+# A recursion keeps all its steps: a word of n bytes takes up to n * n cells. So many at once, whatever the words.
+CELLS_AT_ONCE = 1 << 23
+LEAST_CELLS = 1 << 10
 KEPT_WORDS = 200_000
 DATABASE = {"threads": 1, "memory_limit": "400MB", "temp_directory": ""}
 
@@ -117,8 +119,8 @@ class Coder:
         raw = [w.encode() for w in new]
         ids: list = [[self.ranks[w]] if w in self.ranks else merge_long(w, self.ranks) if len(w) > LONG_WORD else None for w in raw]
         open_words = [i for i, x in enumerate(ids) if x is None]
-        for at in range(0, len(open_words), WORDS_AT_ONCE):
-            part = open_words[at : at + WORDS_AT_ONCE]
+        for start, end in runs([max(LEAST_CELLS, len(raw[i]) ** 2) for i in open_words], CELLS_AT_ONCE):
+            part = open_words[start:end]
             for i, found in zip(part, self.merged([raw[i] for i in part])):
                 ids[i] = found
         for w in new:
@@ -237,10 +239,10 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
 
 
 def digests(coded: DataFrame) -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 in place of ids and decoded."""
+    """n_tokens, ids_sha256 and decoded_sha256 in place of ids and decoded, and of columns of these names."""
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
-        *[c for c in coded.columns if c not in ("ids", "decoded")],
+        *[c for c in coded.columns if c not in ("ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")],
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

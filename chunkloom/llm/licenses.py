@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.llm.line_dedup import held
+from chunkloom.llm.tables import own_names
 
 LEAST = 0.8
 MOST_TEMPLATES = 2000
@@ -87,6 +88,7 @@ def units(rows: DataFrame, text: str) -> DataFrame:
     return parts.select(*kept, F.inline(every))
 
 
+@own_names("id_column", "text")
 def scan(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = TEMPLATES,

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.llm.scratch import cut
+from chunkloom.llm.tables import own_names
 
 MEAN_LINES = 3
 PRIME = 2147483647
@@ -73,6 +74,7 @@ def chunks(docs: DataFrame, keys: list[str], text: str, mean_lines: int) -> Data
     return rows.withColumn("hash", F.xxhash64("chunk"))
 
 
+@own_names("id_column", "text")
 def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", mean_lines: int = MEAN_LINES) -> DataFrame:
     """Rows with n_lines, n_removed (lines), removed (spans of line numbers) and clean_text.
 

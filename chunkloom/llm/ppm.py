@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkloom.llm.scratch import cut
-from chunkloom.llm.tables import blocks_for, text_runs
+from chunkloom.llm.tables import blocks_for, own_names, text_runs
 
 ORDER = 5
 LOW = 2  # contexts up to this length are few enough for every task: at most 256 ** 3 n-grams
@@ -257,6 +257,7 @@ def _score_block(total: int, distinct: int, schema):
     return run
 
 
+@own_names("text")
 def score(docs: DataFrame, model, text: str = "text", broadcast_rows: int = BROADCAST_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Document rows with n_tokens, n_known, train_tokens, base_score and score."""
     cost, known, total, distinct = model
@@ -323,6 +324,7 @@ def _adaptive(batches):
             yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in kept), own], names=[*kept, "score"])
 
 
+@own_names("text")
 def adaptive(docs: DataFrame, text: str = "text") -> DataFrame:
     """Document rows with score: the code length of a trie that starts empty for each text. Byte by byte, so slow."""
     kept = docs.drop("score")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkloom.llm.scratch import cut
-from chunkloom.llm.tables import blocks_for, text_runs
+from chunkloom.llm.tables import blocks_for, own_names, text_runs
 
 LENGTH = 100
 GRAM = 36
@@ -381,6 +381,7 @@ def _remove(shape, text_column: str):
     return run
 
 
+@own_names("id_column", "text")
 def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Document rows with n_bytes, n_removed, removed (maximal runs: first, n) and kept (the bytes left), without the text. Runs jobs."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -1,5 +1,7 @@
 """Reads the tables of the queries, and small helpers that the operators share."""
 
+import functools
+import inspect
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,34 @@ def fold(column: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def own_names(*parameters: str):
+    """For operators docs -> rows whose inner columns begin with an underscore: columns of the caller that do, too, get other names meanwhile.
+
+    `parameters` are those that name a column.
+    """
+
+    def wrap(operator):
+        signature = inspect.signature(operator)
+
+        @functools.wraps(operator)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            clashing = [c for c in docs.columns if c.startswith("_")]
+            if not clashing:
+                return operator(docs, *args, **options)
+            free = (f"set aside {i}" for i in range(2 * len(docs.columns)))
+            aside = dict(zip(clashing, (name for name in free if name not in docs.columns)))
+            given = signature.bind(docs.withColumnsRenamed(aside), *args, **options)
+            given.apply_defaults()
+            for name in parameters:
+                given.arguments[name] = aside.get(given.arguments[name], given.arguments[name])
+            made = operator(*given.args, **given.kwargs)
+            return made.withColumnsRenamed({v: k for k, v in aside.items()})
+
+        return run
+
+    return wrap
+
+
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, math.ceil(rows / per_block))
 
