@@ -228,11 +228,12 @@ def _best(bins) -> dict[str, float]:
 def calibrate(docs: DataFrame, labelled: DataFrame, model: Model) -> dict[str, float]:
     """By language, the threshold of the best F1 over all rows of `labelled` (doc_id, toxic).
 
-    Cuts lie between bins of the log odds. Runs a job; at most a row per language
-    with enough toxic rows and bin comes to the driver.
+    Cuts lie between bins of the log odds. All documents are scored where they are read and
+    meet the labels without their texts, so that no text is shuffled, whatever the number of
+    labels. Runs a job; at most a row per language with enough toxic rows and bin comes to the driver.
     """
-    rows = docs.select("doc_id", "text", "lang").join(labelled, "doc_id")
-    scored = classify(rows.withColumn("hash", F.xxhash64("text")), model).select("doc_id", "lang", "toxic", "hash", "score")
+    rows = docs.select("doc_id", "text", "lang").filter("doc_id is not null").withColumn("hash", F.xxhash64("text"))
+    scored = classify(rows, model).select("doc_id", "lang", "hash", "score").join(labelled, "doc_id")
     once = scored.groupBy("doc_id").agg(F.min_by("score", "hash").alias("score"), F.min("lang").alias("lang"), F.max("toxic").alias("toxic"))
     odds = F.log(F.col("score") / (1 - F.col("score")))
     bin_ = F.when(F.col("score") >= 1, 60 * BINS).otherwise(F.floor(F.greatest(odds, F.lit(-60.0)) * BINS))
