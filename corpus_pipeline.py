@@ -17,6 +17,8 @@ from chunkloom.llm.tables import read
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NEAR = jaccard_join.Rule(words=5, percent=80)
 WINDOW = 10
+# Numbers that are left for earlier texts on one side of all ids.
+ROOM = 1 << 62
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +37,30 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def grouped(docs: DataFrame, before: DataFrame) -> DataFrame:
     """(doc_id, component_id) over the texts of `docs`, and over those of `before` for ids whose text has changed since.
 
-    The earlier texts are compared under numbers beyond all ids, since rows of one id are
-    one document to the join.
+    The earlier texts are compared under numbers beyond all ids, above or below them, since
+    rows of one id are one document to the join. Ids may be any 64-bit numbers.
     """
     now, then = (df.select("doc_id", F.xxhash64("text").alias("hash")) for df in (docs.filter("doc_id is not null"), before))
-    last = docs.agg(F.max("doc_id")).first()[0]
-    number = F.monotonically_increasing_id() + F.lit(0 if last is None else last + 1)
-    changed = cut(now.join(then, ["doc_id", "hash"], "left_anti").select("doc_id").distinct().withColumn("number", number), "changed")
+    ends = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    nth, others = F.monotonically_increasing_id(), None
+    if ends.high is None or ends.high < ROOM:
+        number = nth + F.lit(max(0, (ends.high or 0) + 1))
+    elif ends.low > -ROOM:
+        number = F.lit(min(0, ends.low) - 1) - nth
+    else:  # Ids up to both ends leave no room: all documents get numbers, and those of earlier texts lie between them.
+        others = cut(docs.filter("doc_id is not null").select("doc_id").distinct().withColumn("number", nth), "numbers")
+        others = others.withColumn("number", F.col("number") * 2)
+    changed = now.join(then, ["doc_id", "hash"], "left_anti").select("doc_id").distinct()
+    if others is None:
+        changed = cut(changed.withColumn("number", number), "changed")
+        owner = changed
+    else:
+        changed = cut(changed.join(others, "doc_id").withColumn("number", F.col("number") + 1), "changed")
+        owner = changed.unionByName(others)
+        docs = docs.join(others, "doc_id", "left").withColumn("doc_id", F.col("number")).drop("number")
     earlier = before.join(changed, "doc_id").select(F.col("number").alias("doc_id"), "text")
     groups = jaccard_join.components(docs.select("doc_id", "text").unionByName(earlier), NEAR)
-    owner = changed.select(F.col("doc_id").alias("owner"), F.col("number").alias("doc_id"))
+    owner = owner.select(F.col("doc_id").alias("owner"), F.col("number").alias("doc_id"))
     member = cut(groups.join(owner, "doc_id", "left").select(F.coalesce("owner", "doc_id").alias("doc_id"), "component_id"), "near-copies")
     # Where the smallest number is not that of the smallest document; most components have none to mend.
     head = member.filter("doc_id is not null").groupBy("component_id").agg(F.min("doc_id").alias("head")).filter("head <> component_id")
