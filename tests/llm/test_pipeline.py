@@ -99,3 +99,18 @@ def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", samples.SCHEMA), ("labels", "doc_id bigint, quality int, toxic int"), ("benchmark", "item_id bigint, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("ids", [[2**63 - 1, -5, 3, 8], [-(2**63), 2**63 - 1, 2**62 + 7, -9], [-(2**63), -3, -2, -1], [0, 1, 2, 3]])
+def test_near_copies_under_any_ids(spark, ids):
+    """The second document has lost lines since it was read, and resembles the first by its earlier text only."""
+    whole = samples.words(1, 200, 5000)
+    lost = " ".join(whole.split()[:60])
+    before = [(ids[0], whole), (ids[1], whole), (ids[2], samples.words(2, 100, 5000)), (ids[3], samples.words(3, 100, 5000)), (None, "no id")]
+    now = [(i, lost if i == ids[1] else t) for i, t in before]
+    groups = corpus_pipeline.grouped(samples.documents(spark, now), samples.documents(spark, before)).collect()
+    of = {}
+    for r in groups:
+        if r.doc_id is not None:
+            of[r.doc_id] = min(of.get(r.doc_id, r.component_id), r.component_id)  # a changed document has a row for each of its texts
+    assert of == {ids[0]: min(ids[:2]), ids[1]: min(ids[:2]), ids[2]: ids[2], ids[3]: ids[3]}
