@@ -51,6 +51,37 @@ def test_words_are_forgotten_beyond_a_bound(monkeypatch):
         assert coder.decode(ids, ends) == [text.encode(), b"", b""]
 
 
+def test_frequent_words_outlive_the_bound_and_the_task(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 4)
+    coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    coder.encode([b"qqzx qqzy qqzz qqzw qqzv" + b" qqzy" * 3])
+    coder.rest()
+    assert set(coder.number) == {" qqzy"}
+    for text in ["qqzx qqzy", " qqzy qqzw" * 3, "qqzx qqzy"]:
+        ids, ends = coder.encode([text.encode()])
+        assert ids.tolist() == LIBRARY.encode_ordinary(text) and coder.decode(ids, ends) == [text.encode()]
+        coder.rest()
+
+
+def test_long_words_are_not_kept_beyond_a_bound_of_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 1000)
+    coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    for text in ["xq" * 600 + " abqz" + " abqz", "xq" * 600 + " abqz abqz"]:
+        assert coder.encode([text.encode()])[0].tolist() == LIBRARY.encode_ordinary(text)
+    coder.rest()
+    assert set(coder.number) == {" abqz"}
+
+
+@pytest.mark.parametrize("letters, size", [("abcdefghijklmnopqrstuvwxyz", 250), ("中文字元編碼語言測試詞", 84)])
+def test_text_of_long_different_words(letters, size):
+    rnd = random.Random(size)
+    text = " ".join("".join(rnd.choices(letters, k=size)) for _ in range((3 << 20) // (size * len(letters[0].encode()))))
+    coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    ids, ends = coder.encode([text.encode()])
+    assert ids.tolist() == LIBRARY.encode_ordinary(text)
+    assert coder.decode(ids, ends) == [text.encode()]
+
+
 @pytest.mark.parametrize("rows", [0])
 def test_empty_table(spark, rows):
     docs = samples.documents(spark, ["a"]).limit(rows)
