@@ -22,6 +22,9 @@ equal scores. Without training texts every byte is equally likely. An empty tabl
 no rows. Other columns stay; the result columns replace columns of their names.
 """
 
+from collections import defaultdict
+from itertools import chain, count
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,6 +41,7 @@ HELD_KEYS = 1 << 21  # keys that a task combines before it hands them on
 PART_ROWS = 400_000
 BROADCAST_ROWS = 8_000_000
 BLOCK_BYTES = 16 << 20
+TEXT_BITS = 16  # an n-gram of ORDER + 1 bytes leaves so many bits for the number of its text
 WORD = np.uint64(1 << 62)  # keys of words lie above those of n-grams
 END = b"\n"
 
@@ -64,29 +68,34 @@ class Run:
         inside = np.ones(len(flat), bool)
         for j in range(ORDER):
             inside[ends - self.sizes - ORDER + j] = False
-        grams = flat.copy()
-        for j in range(1, ORDER + 1):
-            grams[j:] |= flat[:-j] << np.uint64(8 * j)
+        # Pairs of neighbouring bytes, three of which make an n-gram.
+        pairs = flat.copy()
+        pairs[1:] |= flat[:-1] << np.uint64(8)
+        grams = pairs.copy()
+        for j in range(2, ORDER + 1, 2):
+            grams[j:] |= pairs[:-j] << np.uint64(8 * j)
         self.grams = grams[inside]
-        number: dict[bytes, int] = {END: 0}
-        self.lengths = np.fromiter((len(own) + 1 for own in split), np.int64, len(split))
-        self.words = np.fromiter(
-            (number.setdefault(w, len(number)) for own in split for w in (*own, END)), np.int64, int(self.lengths.sum())
-        )
+        for own in split:
+            own.append(END)
+        self.lengths = np.fromiter(map(len, split), np.int64, len(split))
+        all_words = list(chain.from_iterable(split))
+        number: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.words = np.fromiter(map(number.__getitem__, all_words), np.int64, len(all_words))
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
         self.word_keys = (hashes & (WORD - np.uint64(1))) | WORD
 
     def counts(self, train: np.ndarray):
         """Distinct keys, and how often each occurs in training texts."""
-        keys, inverse = np.unique(self.grams, return_inverse=True)
-        n = np.bincount(inverse, np.repeat(train, self.sizes), len(keys))
+        # The lowest bit tells whether the text is one to learn from.
+        marked, n = np.unique(self.grams << np.uint64(1) | np.repeat(train, self.sizes).astype(np.uint64), return_counts=True)
+        n *= (marked & np.uint64(1)).astype(np.int64)
+        keys, first = _distinct(marked >> np.uint64(1))
+        n = np.add.reduceat(n, first) if len(first) else n
         m = np.bincount(self.words, np.repeat(train, self.lengths), len(self.word_keys))
         return np.concatenate([keys, self.word_keys]), np.concatenate([n, m]).astype(np.int64)
 
     def scores(self, costs, known, total: int, distinct: int) -> dict:
         """costs and known: (sorted keys, values) of n-grams and words."""
-        keys, inverse = np.unique(self.grams, return_inverse=True)
-        starts = np.cumsum(self.sizes) - self.sizes
         c = _look(*known, self.word_keys)[self.words]
         first = np.cumsum(self.lengths) - self.lengths
         base = np.log10((c + 1) / (total + distinct + 1))
@@ -96,9 +105,27 @@ class Run:
             "n_known": np.add.reduceat((c > 0).astype(np.int64), first) if some else first,
             "train_tokens": np.full(len(self.sizes), total),
             "base_score": np.add.reduceat(base, first) if some else np.zeros(0),
-            "score": np.add.reduceat(_look(*costs, keys)[inverse], starts) if some else np.zeros(0),
+            "score": self._sums(costs),
         }
 
+    def _sums(self, costs) -> np.ndarray:
+        """The costs of each text's n-grams, added up in the order of the n-grams."""
+        out, ends, most = [np.zeros(0)], np.cumsum([0, *self.sizes]), 1 << TEXT_BITS
+        for start in range(0, len(self.sizes), most):
+            sizes = self.sizes[start : start + most]
+            text = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+            both = np.sort(self.grams[ends[start] : ends[start + len(sizes)]] << np.uint64(TEXT_BITS) | text)
+            keys, first = _distinct(both >> np.uint64(TEXT_BITS))
+            each = np.repeat(_look(*costs, keys), np.diff(first, append=len(both)))
+            out.append(np.bincount((both & np.uint64(most - 1)).astype(np.int64), each, len(sizes)))
+        return np.concatenate(out)
+
+
+def _distinct(keys: np.ndarray):
+    """Of sorted keys: the distinct ones, and where each begins."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[first], first
+
 
 def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     if not len(keys):

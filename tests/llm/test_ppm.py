@@ -1,6 +1,8 @@
 import collections
 import math
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,46 @@ def test_long_texts_and_empty_table(spark):
     assert got[0].n_tokens == 2 and -100_000 < got[0].score < 0 and got[1].n_tokens == 50_001 and -1e6 < got[1].score < 0
     none = docs.limit(0)
     assert ppm.score(none, ppm.fit(none, F.lit(True))).collect() == []
+
+
+def normal(text):
+    """Words by an expression, small letters by ASCII only, one space between words, a line break as the end."""
+    small = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+    return b" ".join(re.findall(rb"[^\x20\x09-\x0D]+", small)) + b"\n"
+
+
+def plain_cost(training, context, symbol):
+    """By searching the training texts for each context anew, the longest first."""
+    probability, excluded = 1.0, set()
+    for length in range(5, -1, -1):
+        end = context[5 - length :]
+        after = collections.Counter(t[i] for t in training for i in range(5, len(t)) if t[i - length : i] == end and t[i] not in excluded)
+        if symbol in after:
+            return math.log10(probability * after[symbol] / (after.total() + len(after)))
+        if after:
+            probability *= len(after) / (after.total() + len(after))
+            excluded |= after.keys()
+    return math.log10(probability / (256 - len(excluded)))
+
+
+def test_against_contexts_searched_for(spark):
+    texts = ["the cat sat on the mat", "The  dog\tsat", "a cat and a dög", None, "", "zebra the", "the cat sat on the mat", "on on on on"]
+    docs = samples.documents(spark, texts)
+    got = {r.doc_id: r.score for r in ppm.score(docs.coalesce(1), ppm.fit(docs.coalesce(1), F.col("doc_id") < 5)).collect()}
+    padded = [bytes(5) + normal(t) for t in texts]
+    for i, text in enumerate(padded):
+        assert got[i] == pytest.approx(sum(plain_cost(padded[:5], text[j - 5 : j], text[j]) for j in range(5, len(text))))
+
+
+def test_scores_by_small_runs_of_texts(monkeypatch):
+    texts = [samples.words(i, 1 + i % 9, 30).encode() if i % 4 else None for i in range(50)]
+    run = ppm.Run(texts)
+    keys, n = run.counts(np.arange(50) % 3 > 0)
+    grams = keys < ppm.WORD
+    tables = (keys[grams], np.log10(1 / (2.0 + n[grams]))), (keys[~grams], n[~grams]), 100, 10
+    whole = run.scores(*tables)["score"]
+    monkeypatch.setattr(ppm, "TEXT_BITS", 2)
+    assert run.scores(*tables)["score"].tolist() == whole.tolist()
+    for i in (0, 1, 7):
+        assert ppm.Run([texts[i]]).scores(*tables)["score"].tolist() == [whole[i]]
+    assert ppm.Run([]).scores(*tables)["score"].tolist() == []
