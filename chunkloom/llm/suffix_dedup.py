@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkloom.llm.scratch import cut
-from chunkloom.llm.tables import blocks_for, own_names, text_runs
+from chunkloom.llm.tables import blocks_for, own_names, runs, text_runs
 
 LENGTH = 100
 GRAM = 36
 STARTS = LENGTH - GRAM + 1  # k-grams of a string
 HALF = 32  # a string holds this many bytes left or right of its anchor
 BATCH_BYTES = 2 << 20
+HASHED_BYTES = 1 << 16  # of short texts at once, so that their hashes stay in the processor's cache
 HELD_ANCHORS = 1 << 20
 HOT = 4096
 BUCKET_CONTEXTS = 6000
@@ -69,51 +70,71 @@ def _slide(values: np.ndarray, width: int, choose) -> np.ndarray:
 
 
 class Hashes:
-    """Hashes of all strings of some lengths in a byte array."""
+    """Hashes of strings in a byte array: of all strings of HALF and GRAM bytes, and of longer ones where asked for."""
 
     def __init__(self, data: np.ndarray):
-        self.by = {1: _BYTE[data]}
-        for n in (1, 2, 4, 8, 16, 32):
-            h = self.by[n]
-            self.by[2 * n] = _pair(h[:-n], h[n:])
-        self.by[GRAM] = self._join(32, 4)
-        self.by[GRAM + HALF] = self._join(GRAM, 32)
-        self.by[LENGTH] = self._join(64, GRAM)
-
-    def _join(self, n: int, m: int) -> np.ndarray:
-        size = len(self.by[1]) - n - m + 1
-        return _pair(self.by[n][:size], self.by[m][n : n + size])
+        h = _BYTE[data]
+        for n in (1, 2, 4, 8, 16):
+            if n == 4:
+                four = h
+            h = _pair(h[:-n], h[n:])
+        self.halves = h
+        size = max(0, len(data) - GRAM + 1)
+        self.grams = _pair(h[:size], four[HALF : HALF + size])
+
+    def wide(self, at: np.ndarray) -> np.ndarray:
+        """Of GRAM + HALF bytes."""
+        return _pair(self.grams[at], self.halves[at + GRAM])
+
+    def strings(self, at: np.ndarray) -> np.ndarray:
+        """Of LENGTH bytes."""
+        return _pair(_pair(self.halves[at], self.halves[at + HALF]), self.grams[at + 2 * HALF])
 
     def spans(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Hashes of spans of LENGTH bytes or more, at most 2 LENGTH, with their sizes."""
-        h = _pair(self.by[LENGTH][first], self.by[LENGTH][last - LENGTH])
+        """Of spans of LENGTH bytes or more, at most 2 LENGTH, with their sizes."""
+        h = _pair(self.strings(first), self.strings(last - LENGTH))
         return _pair(h, (last - first).astype(np.uint64))
 
 
-def anchors(text: bytes):
-    """The anchors of a text: gram hash, context hash, left and right hash, place, first and last start."""
-    data = np.frombuffer(text, np.uint8)
+def anchors_of(texts: list[bytes]):
+    """The anchors of texts of LENGTH bytes or more: number of the text, gram hash, context hash, left and right hash, place, first and last start."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
     hashes = Hashes(data)
-    grams = hashes.by[GRAM]
-    least = _slide(grams, STARTS, np.minimum)  # by start
+    grams = hashes.grams
+    inside = np.ones(len(data) - LENGTH + 1, bool)
+    inside[(ends[:-1, None] - np.arange(1, LENGTH)).ravel()] = False  # strings that reach into the next text
+    starts = np.flatnonzero(inside)
+    least = np.where(inside, _slide(grams, STARTS, np.minimum), np.uint64(0))  # by start
     # The place of the leftmost minimum of each start: the first k-gram from there on that equals it.
     edge = np.zeros(STARTS - 1, np.uint64)
-    chosen = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), STARTS, np.maximum) == grams)
-    place = chosen[np.searchsorted(chosen, np.arange(len(least)))]
+    is_chosen = _slide(np.concatenate([edge, least, edge]), STARTS, np.maximum) == grams
+    chosen, least = np.flatnonzero(is_chosen), least[starts]
+    nth = (np.cumsum(is_chosen) - is_chosen)[starts]
+    place = chosen[nth]
     # Between a start and its minimum there may be chosen places of other starts.
-    while True:
-        wrong = np.flatnonzero(grams[place] != least)
-        if not len(wrong):
-            break
-        place[wrong] = chosen[np.searchsorted(chosen, place[wrong], side="right")]
+    wrong = np.flatnonzero(grams[place] != least)
+    while len(wrong):
+        nth[wrong] += 1
+        place[wrong] = chosen[nth[wrong]]
+        wrong = wrong[grams[place[wrong]] != least[wrong]]
     here = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    first, last = here, np.append(here[1:], len(least)) - 1
+    first, last = starts[here], starts[np.append(here[1:], len(starts)) - 1]
     at = place[here]
-    wide = hashes.by[GRAM + HALF]
-    left = np.where(at - first >= HALF, wide[np.maximum(at - HALF, 0)], np.uint64(0))
-    right = np.where(last + LENGTH >= at + GRAM + HALF, wide[np.minimum(at, len(wide) - 1)], np.uint64(0))
+    left, right = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    has = at - first >= HALF
+    left[has] = hashes.wide(at[has] - HALF)
+    has = last + LENGTH >= at + GRAM + HALF
+    right[has] = hashes.wide(at[has])
     context = _pair(hashes.spans(first, last + LENGTH), (at - first).astype(np.uint64))
-    return grams[at], context, left, right, at, first, last
+    text = np.searchsorted(ends, at, side="right")
+    origin = np.append(0, ends)[text]
+    return text, grams[at], context, left, right, at - origin, first - origin, last - origin
+
+
+def anchors(text: bytes):
+    """The anchors of one text, without its number."""
+    return anchors_of([text])[1:]
 
 
 _ROW = "gram bigint, context bigint, lft int, rgt int, doc bigint, tx int, place int, first int, last int, covered boolean"
@@ -128,12 +149,12 @@ class _Rows:
         self.parts = []
         self.count = 0
 
-    def add(self, doc, tx, found):
-        gram, context, left, right, at, first, last = found
-        n = len(gram)
+    def add(self, docs, txs, found):
+        """Anchors of some texts, with the keys of these texts."""
+        text, gram, context, left, right, at, first, last = found
         fold = lambda h: np.where(h == 0, 0, (h >> np.uint64(33)).astype(np.int32) | 1).astype(np.int32)
-        self.parts.append((gram.view(np.int64), context.view(np.int64), fold(left), fold(right), np.full(n, doc), np.full(n, tx, np.int32), at.astype(np.int32), first.astype(np.int32), last.astype(np.int32)))
-        self.count += n
+        self.parts.append((gram.view(np.int64), context.view(np.int64), fold(left), fold(right), docs[text], txs[text], at.astype(np.int32), first.astype(np.int32), last.astype(np.int32)))
+        self.count += len(gram)
 
     def flush(self):
         """Rows of a task so far; of equal contexts only the earliest is not covered."""
@@ -165,13 +186,13 @@ def _find(batches):
     rows = _Rows()
     for batch in batches:
         for part, texts in text_runs(batch, "text", BATCH_BYTES):
-            docs = part.column(part.schema.get_field_index("doc")).to_pylist()
-            txs = part.column(part.schema.get_field_index("tx")).to_pylist()
-            for doc, tx, text in zip(docs, txs, texts):
-                if text is not None and len(text) >= LENGTH:
-                    rows.add(doc, tx, anchors(text))
-                    if rows.count >= HELD_ANCHORS:
-                        yield from rows.flush()
+            docs, txs = (part.column(part.schema.get_field_index(n)).to_numpy() for n in ("doc", "tx"))
+            long = [i for i, text in enumerate(texts) if text is not None and len(text) >= LENGTH]
+            for start, end in runs([len(texts[i]) for i in long], HASHED_BYTES):
+                some = long[start:end]
+                rows.add(docs[some], txs[some], anchors_of([texts[i] for i in some]))
+                if rows.count >= HELD_ANCHORS:
+                    yield from rows.flush()
     yield from rows.flush()
 
 
@@ -183,7 +204,7 @@ def _fetch(batches):
             rows = part.to_pydict()
             out = []
             for doc, tx, text, wanted in zip(rows["doc"], rows["tx"], texts, rows["wanted"]):
-                strings = Hashes(np.frombuffer(text, np.uint8)).by[LENGTH] if any(x["hot"] for x in wanted) else None
+                strings = Hashes(np.frombuffer(text, np.uint8)).strings(np.arange(len(text) - LENGTH + 1)) if any(x["hot"] for x in wanted) else None
                 for x in wanted:
                     if x["hot"]:
                         out += [(int(strings[s].view(np.int64)), doc, tx, s, s, None) for s in range(x["first"], x["last"] + 1)]

@@ -94,3 +94,12 @@ def test_every_string_has_its_anchor():
     gram, context, left, right, at, first, last = suffix_dedup.anchors(text)
     assert first[0] == 0 and last[-1] == len(text) - LENGTH and (first[1:] == last[:-1] + 1).all()
     assert ((at >= last) & (at <= first + LENGTH - suffix_dedup.GRAM)).all()
+
+
+def test_anchors_of_many_texts_are_those_of_each():
+    rnd = random.Random(8)
+    texts = [bytes(rnd.choices(b"ab ", k=rnd.randrange(LENGTH, 4 * LENGTH))) for _ in range(40)] + [b"a" * LENGTH, b"ab" * 300]
+    text, *found = suffix_dedup.anchors_of(texts)
+    for i, own in enumerate(texts):
+        for both, single in zip(found, suffix_dedup.anchors(own)):
+            assert both[text == i].tolist() == single.tolist()
