@@ -10,8 +10,11 @@ from chunkloom.session import stored
 FEW_PHRASES = 64
 # Phrases of so many bytes together are sent to all tasks; more are joined with the texts.
 PHRASE_BYTES = 32 << 20
-# Letters of the parts by which more phrases are joined.
-_GRAM = 6
+# Bits that tell where more phrases may occur, for each of them and, as a power of two, for all that are searched at once.
+_PHRASE_BITS = 16
+_MARK_BITS = 28
+# So many places of a text are looked up first; a text where none is a phrase is searched again, without a bound.
+_FIRST = 4
 UNREAD = "segment file is not valid JSON"
 # So many chunk numbers of a video go to one partition.
 BLOCK = 1000
@@ -37,32 +40,29 @@ def _layers(table: DataFrame) -> DataFrame:
     return table.filter(own.isNotNull()).select(both.alias("own")).select("own.*").filter("phrase <> ''").distinct()
 
 
-def _grams(value):
-    """All runs of _GRAM letters; a shorter text is the only one of its own."""
-    runs = F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{_GRAM}}}))"), F.lit(1))
-    return F.when(F.length(value) < _GRAM, F.array(value)).otherwise(F.array_distinct(runs))
-
-
 def _texts_with(texts: DataFrame, layers: DataFrame) -> DataFrame:
-    """The texts that hold a phrase, by joins: each phrase meets the texts that share its rarest part.
+    """The texts that hold a phrase, by joins: runs of letters that may be phrases, by a table of bits, meet the phrases.
 
-    Runs a job that stores the phrases with their part, the one that fewest phrases share. Phrases shorter than a part have
-    lengths below _GRAM, and meet the runs of these lengths.
+    Runs jobs. The bits grow with the phrases up to a bound; beyond it, phrases are searched in several parts. Only
+    runs of the lengths that phrases have are joined, with phrases equal to them, so that a join makes no more rows than it reads.
     """
-    parts = layers.filter(F.length("phrase") >= _GRAM).select("raw", "phrase", F.explode(_grams(F.col("phrase"))).alias("gram"))
-    shared = parts.groupBy("raw", "gram").agg(F.count("*").alias("shared"))
-    rarest = parts.join(shared, ["raw", "gram"]).groupBy("raw", "phrase").agg(F.min(F.struct("shared", "gram")).alias("best")).select("raw", "phrase", "best.gram")
-    short = layers.filter(F.length("phrase") < _GRAM).select("raw", "phrase", F.col("phrase").alias("gram"))
-    keyed = stored(rarest.unionByName(short), "phrases")
-    lengths = [r[0] for r in keyed.filter(F.length("gram") < _GRAM).select(F.length("gram")).distinct().collect()]
+    count = layers.count()
+    parts = max(1, -(-count * _PHRASE_BITS // (1 << _MARK_BITS)))
+    bits = max(15, min(_MARK_BITS, (count * _PHRASE_BITS).bit_length()))
+    written, bare = F.lower("text").alias("written"), text.normalise(F.col("text")).alias("bare")
     distinct = texts.select("text").filter("text is not null").distinct()
-    found = []
-    for raw, value in ((True, F.lower("text")), (False, text.normalise(F.col("text")))):
-        runs = [F.regexp_extract_all("value", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in [_GRAM, *lengths]]
-        grams = distinct.withColumn("value", value).withColumn("gram", F.explode(F.array_distinct(F.concat(*runs))))
-        met = grams.join(keyed.filter(F.col("raw") == raw), "gram").filter(F.contains("value", "phrase"))
-        found.append(met.select("text"))
-    return found[0].union(found[1]).distinct()
+    distinct = stored(distinct.select(F.monotonically_increasing_id().alias("id"), "text", written, bare), "texts")
+    found = None
+    for part in range(parts):
+        own = layers.filter(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == part) if parts > 1 else layers
+        marks = many.mark(own, bits)
+        own = own.select("raw", F.col("phrase").cast("binary").alias("phrase"))
+        for most in (_FIRST, None):
+            rest = distinct if found is None else distinct.join(found, "id", "left_anti")
+            windows = stored(many.marked_windows(rest, marks, most), "phrase-windows")
+            met = stored(windows.join(own, ["raw", "phrase"]).select("id").distinct(), "texts-found")
+            found = met if found is None else found.union(met)
+    return distinct.join(found, "id", "left_semi").select("text")
 
 
 def drop_stop_phrases(segments: DataFrame, phrases, phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
@@ -80,7 +80,8 @@ def drop_stop_phrases(segments: DataFrame, phrases, phrase_bytes: int = PHRASE_B
     layers = stored(_layers(phrases), "phrase-layers")
     size = layers.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
     if size > phrase_bytes:
-        return segments.join(stored(_texts_with(segments, layers), "texts-with-phrases"), "text", "left_anti").select(*segments.columns)
+        found = stored(_texts_with(segments, layers), "texts-with-phrases")
+        return segments.join(found.hint("merge"), "text", "left_anti").select(*segments.columns)
     raw, bare = [], []
     for row in layers.toLocalIterator():
         (raw if row.raw else bare).append(row.phrase)
