@@ -41,26 +41,30 @@ def json_lines_scan(spark, folder):
     return readers.load_any(spark, f"{path}/*.json")
 
 
+def _write_arrays(records, path, size):
+    """One JSON array per file, of about `size` records each: neither a file for each video nor files that grow with the table."""
+    arrays = max(1, -(-records.count() // size))
+    dealt = records.groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(arrays)))
+    value = F.to_json(F.collect_list(F.struct("video_id", "turn", "text"))).alias("value")
+    # One record per file is one array per file.
+    dealt.agg(value).select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 def _mixed_files(spark, folder, arrays_larger):
     """Even conversations as one JSON array per file, odd ones as lines; one kind in larger files."""
     path = scratch_path(spark, "mixed")
-    turns = _turns(spark, folder).withColumn("part", F.col("turn") % 3)
+    turns = _turns(spark, folder)
     parity = F.substring("video_id", -1, 1).cast("int") % 2
-    keys = ["part"] if arrays_larger else ["part", "video_id"]
-    record = F.struct("video_id", "turn", "text")
-    arrays = turns.filter(parity == 0).groupBy(*keys).agg(F.to_json(F.collect_list(record)).alias("value")).select("value")
-    arrays = arrays.coalesce(1) if arrays_larger else arrays.repartition(4)
-    # One record per file is one array per file.
-    arrays.write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
-    lines = turns.filter(parity == 1).drop("part")
-    lines.repartition(12 if arrays_larger else 1).write.json(f"{path}/lines")
+    _write_arrays(turns.filter(parity == 0), f"{path}/arrays", 5000 if arrays_larger else 500)
+    lines = turns.filter(parity == 1)
+    lines = lines.repartition(12) if arrays_larger else lines
+    lines.write.option("maxRecordsPerFile", 500 if arrays_larger else 5000).json(f"{path}/lines")
     return f"{path}/*/part*"
 
 
 def json_array_scan(spark, folder):
     path = scratch_path(spark, "arrays")
-    records = _turns(spark, folder).groupBy(F.col("turn") % 4).agg(F.to_json(F.collect_list(F.struct("video_id", "turn", "text"))).alias("value"))
-    records.select("value").coalesce(1).write.option("maxRecordsPerFile", 1).text(path)
+    _write_arrays(_turns(spark, folder), path, 5000)
     return readers.read_json(spark, f"{path}/part*")
 
 

@@ -10,6 +10,7 @@ from chunkloom.__main__ import main
 from chunkloom.plans.export import export_chunks
 from chunkloom.session import scratch_path
 from chunkloom.sources import database, readers, writers
+from querybook import storage
 from tests.helpers import rows
 
 ROWS = [("007", 1, 'a "quoted"\nline'), ("v", 2, None)]
@@ -194,3 +195,23 @@ def test_command_line(spark, tmp_path, capsys):
         assert "2025-07-11" in capsys.readouterr().out
     main(["summary", "--summaries", at("summaries"), "--video-id", "a_b"])
     assert "embed/a_b" in capsys.readouterr().out
+
+
+def conversation_table(spark, folder, turns):
+    frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    frame.write.parquet(f"{folder}/conversations.parquet")
+    return str(folder)
+
+
+def test_arrays_of_the_scans_hold_so_many_records(spark, tmp_path):
+    """Neither a file for each video nor an array that grows with the table."""
+    folder = conversation_table(spark, tmp_path, [(i, i % 5, "user", f"text {i}") for i in range(16_000)])
+    for larger, most in ((True, 5000), (False, 500)):
+        files = spark.read.text(storage._mixed_files(spark, folder, larger).replace("/*/", "/arrays/"), wholetext=True)
+        sizes = [len(json.loads(r.value)) for r in files.collect()]
+        assert sum(sizes) == 8000 and len(sizes) == -(-8000 // most) and max(sizes) < 2 * most
+    found = storage.json_mixed_scan(spark, folder)
+    assert found.groupBy("larger").agg(F.count("*"), F.countDistinct("video_id", "turn", "text")).orderBy("larger").collect() == [
+        ("arrays", 16_000, 16_000),
+        ("lines", 16_000, 16_000),
+    ]
