@@ -22,13 +22,29 @@ def held_buckets(names) -> int | None:
     return held[0] if held else None
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+
+
 def write_segments(segments: DataFrame, path: str) -> None:
-    """Append segments as UTF-8 JSON Lines, one folder per video.
+    """Append segments as UTF-8 JSON Lines, with videos dealt to buckets, one folder each.
 
-    Pass only videos without segments yet, see `pending.unprocessed`.
+    A store that has a folder for each video keeps them. Pass only videos without segments
+    yet, see `pending.unprocessed`.
     """
-    columns = ["video_id", *schemas.SEGMENTS.fieldNames()]
-    segments.select(*columns).write.mode("append").partitionBy("video_id").json(path)
+    rows = segments.select("video_id", *schemas.SEGMENTS.fieldNames())
+    names = _folders(segments.sparkSession, path)
+    if any(name.startswith("video_id=") for name in names):
+        rows.write.mode("append").partitionBy("video_id").json(path)
+        return
+    number = held_buckets(names) or BUCKETS
+    column = f"{_BUCKET}{number}"
+    # A long video goes to several tasks.
+    dealt = rows.withColumn(column, bucket(number, "video_id")).repartition(column, F.pmod(F.xxhash64("id"), F.lit(8)))
+    dealt.write.mode("append").partitionBy(column).json(path)
 
 
 def write_chunks(chunks: DataFrame, path: str, keep: bool = False) -> None:

@@ -215,3 +215,37 @@ def test_arrays_of_the_scans_hold_so_many_records(spark, tmp_path):
         ("arrays", 16_000, 16_000),
         ("lines", 16_000, 16_000),
     ]
+
+
+def test_listings_of_the_scan_hold_so_many_entries(spark, tmp_path, monkeypatch):
+    frame = spark.range(12_000).selectExpr(
+        "id * 1000 as o_orderkey", "id as o_custkey", "'O' as o_orderstatus", "1D as o_totalprice",
+        "timestamp_ntz'2024-05-06 00:00:00' as o_orderdate", "'x' as o_orderpriority",
+    )
+    frame.write.parquet(str(tmp_path / "orders.parquet"))
+    written = []
+    monkeypatch.setattr(storage, "scratch_path", lambda spark, name: written.append(str(tmp_path / name)) or written[-1])
+    found = storage.listing_scan(spark, str(tmp_path))
+    assert found.count() == found.distinct().count() == 12_000
+    assert found.agg(F.min("upload_date"), F.max("id")).first() == ("20240506", "9999000")
+    assert spark.read.text(written[0]).count() == 3
+
+
+def test_segments_of_many_videos_lie_in_few_folders(spark, tmp_path):
+    names = "video_id string, id string, start string, end string, text string"
+    frame = spark.createDataFrame([(f"{i:05d}", str(i), "0.0", None, f"가 {i}") for i in range(900)], names)
+    store = tmp_path / "s"
+    for part in (frame.filter("id < 400"), frame.filter("id >= 400")):
+        writers.write_segments(part, str(store))
+    assert rows(readers.read_segments(spark, str(store))) == rows(frame)
+    folders = [f for f in store.iterdir() if f.is_dir()]
+    assert len(folders) == writers.BUCKETS and sum(len(list(f.glob("part*"))) for f in folders) < 300
+
+
+def test_a_folder_for_each_video_stays_as_it_is(spark, tmp_path):
+    names = "video_id string, id string, start string, end string, text string"
+    old, new = (spark.createDataFrame([(v, "0", "0.0", "1.0", v)], names) for v in ("007", "8"))
+    old.write.partitionBy("video_id").json(str(tmp_path / "s"))
+    writers.write_segments(new, str(tmp_path / "s"))
+    assert rows(readers.read_segments(spark, str(tmp_path / "s"))) == rows(old.union(new))
+    assert (tmp_path / "s" / "video_id=8").is_dir()
