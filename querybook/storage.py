@@ -41,13 +41,17 @@ def json_lines_scan(spark, folder):
     return readers.load_any(spark, f"{path}/*.json")
 
 
+def _dealt(records, size):
+    """Records in groups of about so many, for one file each: neither many small files nor files that grow with the table."""
+    groups = max(1, -(-records.count() // size))
+    return records.groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
+
+
 def _write_arrays(records, path, size):
-    """One JSON array per file, of about `size` records each: neither a file for each video nor files that grow with the table."""
-    arrays = max(1, -(-records.count() // size))
-    dealt = records.groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(arrays)))
+    """One JSON array per file, of about `size` records each."""
     value = F.to_json(F.collect_list(F.struct("video_id", "turn", "text"))).alias("value")
     # One record per file is one array per file.
-    dealt.agg(value).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    _dealt(records, size).agg(value).select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 def _mixed_files(spark, folder, arrays_larger):
@@ -84,7 +88,7 @@ def csv_scan(spark, folder):
 
 
 def segment_store(spark, folder):
-    """One folder per video; the second write adds the videos the first one lacks."""
+    """One bucket per video; the second write adds the videos the first one lacks."""
     path = scratch_path(spark, "segments")
     turns = _turns(spark, folder).select(
         "video_id", F.col("turn").alias("id"), (F.col("turn") * 2.5).alias("start"), (F.col("turn") * 2.5 + 1).alias("end"), "text"
@@ -147,12 +151,13 @@ def segment_ingest(spark, folder):
 
 
 def listing_scan(spark, folder):
-    """Listings of a hundred entries per file, some with keys that are not read."""
+    """Listings of about five thousand entries per file, some with keys that are not read."""
     path = scratch_path(spark, "listings")
     key = F.col("o_orderkey")
     entry = F.struct(key.cast("string").alias("id"), F.col("o_orderpriority").alias("title"),
                      F.date_format("o_orderdate", "yyyyMMdd").alias("upload_date"), key.alias("views"))
-    files = read(spark, folder, "orders").groupBy(F.floor(key / 100)).agg(F.to_json(F.struct(F.collect_list(entry).alias("entries"))).alias("value"))
+    listing = F.to_json(F.struct(F.collect_list(entry).alias("entries"))).alias("value")
+    files = _dealt(read(spark, folder, "orders"), 5000).agg(listing)
     files.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return readers.read_listing(spark, path)
 
