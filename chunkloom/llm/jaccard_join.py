@@ -10,10 +10,10 @@ them are visited. A visited group has the union of its members' tokens: if the q
 shares too few tokens with the union, the group stays closed; else the query is
 compared with the members exactly. Members of one group are compared in their group.
 
-Only links that connect something new are returned, never all pairs of a group. A
-query visits groups of larger families only, which finds each link once. The groups
-of one family meet in its first group; where that leaves parts unconnected, these go
-through the matrix, too.
+Only links that connect something new are returned, never all pairs of a group. The
+groups of one family meet in its first group, and classes that share one of the minima
+in the group of the smallest id. Parts that are still unconnected go through the
+matrix; a query visits groups with members of larger parts only, which finds each link once.
 
 Sets are of 64-bit hashes of shingles. Documents with fewer words than a shingle have
 the whole sequence as their one shingle; null and empty texts have an empty set and
@@ -98,7 +98,7 @@ def sets_of(texts, size: int) -> list[np.ndarray]:
 
 
 def _early(rule: Rule, frequent):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("class", pa.binary()), ("family", pa.int64()), ("early", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("class", pa.binary()), ("family", pa.int64()), ("low", pa.list_(pa.int64())), ("early", pa.list_(pa.int64()))])
 
     def run(batches):
         import xxhash
@@ -112,18 +112,18 @@ def _early(rule: Rule, frequent):
                     if len(common) and len(own):
                         often = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
                     first = np.concatenate([own[~often], own[often]])[: rule.early(len(own))]
-                    family = 0
+                    family, low = 0, []
                     if len(own):
                         low = [_mix(own ^ start).min() for start in _STARTS]
                         family = int(xxhash.xxh3_64_intdigest(np.array(low).tobytes()) >> 1)
-                    out.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), family, first.astype(np.int64)))
-                n, classes, families, early = zip(*out)
+                    out.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), family, np.array(low, np.uint64).astype(np.int64), first.astype(np.int64)))
+                columns = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(rows.schema.get_field_index("id")), *(pa.array(v, schema.field(i).type) for i, v in enumerate((n, classes, families, early), 1))],
+                    [rows.column(rows.schema.get_field_index("id")), *(pa.array(v, schema.field(i).type) for i, v in enumerate(columns, 1))],
                     schema=schema,
                 )
 
-    return run, "id bigint, n bigint, class binary, family bigint, early array<bigint>"
+    return run, "id bigint, n bigint, class binary, family bigint, low array<bigint>, early array<bigint>"
 
 
 def frequent_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
@@ -289,24 +289,26 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
         .withColumns({"rows": F.coalesce("rows", F.lit(1)), "groups": F.coalesce("groups", F.lit(1))})
         .withColumn("group", F.when(F.col("rows") == 1, F.col("id")).otherwise(F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("groups")))))
     )
-    member = cut(member.select("id", "n", "family", "rows", "groups", "group", "early"), "members")
+    member = cut(member.select("id", "n", "family", "rows", "groups", "group", "low", "early"), "members")
     home = member.select("id", "group")
 
-    visits = visits_of(member.withColumn("rank", F.struct("rows", "family")), rule)
-
     # The members of a divided family visit the family's first group.
     divided = member.filter("groups > 1")
     hubs = cut(divided.groupBy("family").agg(F.min("group").alias("hub")), "hubs")
     to_hub = divided.join(hubs, "family").filter("group <> hub").select("id", F.col("hub").alias("group"))
-    found = cut(links(docs, home, visits.union(to_hub), rule), "links")
+    # Classes that share one minimum visit the group of the smallest id among them.
+    minimum = member.select("id", "group", F.posexplode("low").alias("nth", "low"))
+    first = minimum.groupBy("nth", "low").agg(F.min(F.struct("id", "group")).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    to_first = minimum.join(first.hint("merge"), ["nth", "low"]).filter("group <> first.group").select("id", F.col("first.group").alias("group"))
+    found = cut(links(docs, home, to_hub.union(to_first), rule), "links")
     joined = connected(found)
 
-    # Divided families that are still in several parts go through the matrix, too, by their parts.
-    labelled = cut(divided.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
-    open_families = labelled.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("family")
-    rest = labelled.join(open_families, "family", "left_semi")
-    parts = cut(rest.groupBy("component").agg(F.count("*").alias("size")), "parts")
-    late = cut(visits_of(rest.join(parts, "component").withColumn("rank", F.struct("size", "component")), rule), "late")
+    # What is connected by now is one part. The parts go through the matrix, whose queries visit groups with members of other
+    # parts only: a family of near copies does not meet itself pair by pair.
+    labelled = member.join(joined.withColumnRenamed("node", "id").hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = cut(labelled.select("id", "n", "group", "component", "early"), "labelled")
+    parts = cut(labelled.groupBy("component").agg(F.count("*").alias("size")), "parts")
+    late = cut(visits_of(labelled.join(parts.hint("merge"), "component").withColumn("rank", F.struct("size", "component")), rule), "late")
     if not late.isEmpty():
         their = home.join(late.select("group").distinct(), "group", "left_semi").select("id", "group")
         joined = connected(found.union(links(docs, their, late, rule, few=True)))

@@ -90,3 +90,17 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components.connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {200: 200, 201: 200}
     assert components.connected(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_links_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    made, connect = [], components.connected
+    monkeypatch.setattr(jaccard_join, "connected", lambda edges: made.append(edges.count()) or connect(edges))
+    texts = []
+    for i, t in enumerate(["base"] * 300):
+        own = samples.words(5, 200, 3000).split()
+        own[37 * i % 200] = f"x{i}"
+        own[(53 * i + 90) % 200] = f"y{i}"
+        texts.append(" ".join(own))
+    got = jaccard_join.components(samples.documents(spark, texts), jaccard_join.Rule(5, 80)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert max(made) < 6 * len(texts)
