@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chunkloom import fixed_values as fv
 from chunkloom.functions import dates, urls
 from chunkloom.operators import listing_state, serving, title_index
+from chunkloom.session import stored
 
 
 def recent(
@@ -42,8 +43,8 @@ def search(
 
 
 def keep_listing(new_chunks: DataFrame, state: str, index: str) -> None:
-    """Bring the kept listing and the index of titles up to date with new chunks, which are all that is read of the chunks."""
-    listing = new_chunks.select(*serving.LISTING)
+    """Bring the kept listing and the index of titles up to date with new chunks, which are all that is read of the chunks, once."""
+    listing = stored(serving.latest_per_title(new_chunks), "new-listing")
     listing_state.append(listing, state)
     title_index.append(listing, index)
 

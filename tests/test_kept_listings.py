@@ -150,3 +150,12 @@ def test_nothing_kept_yet(spark, tmp_path, summaries):
     state, index = str(tmp_path / "s"), str(tmp_path / "i")
     listings.keep_listing(spark.createDataFrame([], CHUNK), state, index)
     assert listed(listings.kept_search(spark, state, index, summaries, "abc")) == []
+
+
+def test_new_chunks_are_read_once(spark, chunks, tmp_path, monkeypatch):
+    given = []
+    for module in (listing_state, title_index):
+        monkeypatch.setattr(module, "append", lambda listing, path: given.append(listing))
+    listings.keep_listing(chunks.join(spark.range(1).select(F.lit(1).alias("one"))), str(tmp_path / "s"), str(tmp_path / "i"))
+    assert len(given) == 2 and not any("Join" in df._jdf.queryExecution().toString() for df in given)
+    assert given[0].count() == chunks.select("video_id", "title").distinct().count()
