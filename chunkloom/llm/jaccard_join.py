@@ -3,16 +3,16 @@
 Documents with equal shingle sets are one class, and only its smallest id goes on.
 Similar classes are partitioned into groups: equal minimum hashes, divided
 further where a group would get too large. The matrix has a row for each token that
-stands early in the order of a member's tokens, and each group; frequent tokens come
-last in this order. Two sets that link share a known number of such early tokens, so
-a query counts its own among the tokens of a group, and only groups with enough of
-them are visited. A visited group has the union of its members' tokens: if the query
+stands early in the order of a member's tokens, each group and size; frequent tokens come
+last in this order. Two sets that link share a known number of tokens that stand before a
+place which follows from both sizes, so a query counts its own among the tokens of a group,
+and only groups with enough of them are visited. A visited group has the union of its members' tokens: if the query
 shares too few tokens with the union, the group stays closed; else the query is
 compared with the members exactly. Members of one group are compared in their group.
 
 Only links that connect something new are returned, never all pairs of a group. The
 groups of one family meet in its first group, and classes that share one of the minima
-in the group of the smallest id. Parts that are still unconnected go through the
+in the group of the smallest id, if a second one is equal. Parts that are still unconnected go through the
 matrix; a query visits groups with members of larger parts only, which finds each link once.
 
 Sets are of 64-bit hashes of shingles. Documents with fewer words than a shingle have
@@ -60,7 +60,7 @@ class Rule:
 
     def early_common(self, n):
         """So many of the early tokens of a set of n are common with any set of its size or larger that it links with."""
-        return np.maximum(1, n // 16)
+        return np.maximum(1, np.minimum(n // 16, np.maximum(3, n // 64)))
 
     def early(self, n):
         return min(n, n - self.overlap(n) + int(self.early_common(n)))
@@ -221,12 +221,11 @@ def _ship(rule: Rule):
     return run, "group bigint, part int, member boolean, id bigint, set binary"
 
 
-def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule, few: bool = False) -> DataFrame:
+def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule) -> DataFrame:
     """Opens groups: links (a, b) inside them and of their visitors.
 
     members: (id, group) of all classes, visits: (id, group). A group with many visitors
-    is opened in several tasks, each with all members. With `few` the choice of the join
-    with the texts is left to Spark and the size of the errands.
+    is opened in several tasks, each with all members.
     """
     visits = visits.distinct()
     counts = visits.groupBy("group").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("parts"))
@@ -237,32 +236,41 @@ def links(docs: DataFrame, members: DataFrame, visits: DataFrame, rule: Rule, fe
     errands = at_home.unionByName(away).groupBy("id").agg(F.collect_list(F.struct("group", "part", "member")).alias("errands"))
     ship, shape = _ship(rule)
     errands = cut(errands, "errands")
-    shipped = docs.join(errands if few else errands.hint("merge"), "id").select("id", "text", "errands").mapInArrow(ship, shape)
+    shipped = docs.join(errands.hint("merge"), "id").select("id", "text", "errands").mapInArrow(ship, shape)
     return shipped.groupBy("group", "part").applyInArrow(_open(rule), "a bigint, b bigint")
 
 
+def _early_common(n):
+    """Rule.early_common of a column."""
+    return F.greatest(F.lit(1), F.least(F.floor(n / 16), F.greatest(F.lit(3), F.floor(n / 64))))
+
+
 def visits_of(members: DataFrame, rule: Rule) -> DataFrame:
     """(id, group): queries and the groups that hold enough of their early tokens.
 
     members: id, n, group, rank, early. Only members of different ranks meet, and the
-    smaller rank is the query, so that a token of one rank only costs nothing.
+    smaller rank is the query, so that a token of one rank only costs nothing. Sets of a
+    and b tokens that link have at least P * (a + b) / (100 + P) in common, P percent. As
+    many less k - 1 of them come after the k-th, so this one stands before a last place in
+    either set. Near copies that don't link differ in their first tokens up to there, mostly.
     """
-    cells = members.select(F.explode("early").alias("token"), "id", "n", "group", "rank")
+    cells = members.select(F.posexplode("early").alias("place", "token"), "id", "n", "group", "rank")
     of_token = W.partitionBy("token")
     cells = cells.repartition("token").withColumns({"top": F.max("rank").over(of_token), "low": F.min("rank").over(of_token)})
-    cells = cut(cells.filter("low < top").select("token", "id", "n", "group", "rank", "top"), "matrix")
-    needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * rule.percent / 100) / 16))
-    enough = cells.groupBy("id").agg(F.count("*").alias("cells"), F.min("n").alias("n")).filter(F.col("cells") >= needed).select("id")
-    asked = cells.filter("rank < top").select("token", "id", "n", F.col("rank").alias("own"))
-    asked = asked.join(enough.hint("merge"), "id", "left_semi")
-    held = cells.groupBy("token", "group", "rank").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
+    cells = cut(cells.filter("low < top").select("token", "place", "id", "n", "group", "rank", "top"), "matrix")
+    asked = cells.filter("rank < top").select("token", "place", "id", "n", F.col("rank").alias("own"))
+    held = cells.groupBy("token", "group", "rank", F.col("n").alias("size")).agg(F.min("place").alias("first"))
+    k = F.least(_early_common(F.col("n")), _early_common(F.col("size")))
+    after = F.least(F.col("n") - F.col("place"), F.col("size") - F.col("first")) - 1
     met = asked.join(held.hint("merge"), "token").filter(
         (F.col("own") < F.col("rank"))
-        & (F.col("largest") * 100 >= F.col("n") * rule.percent)
-        & (F.col("smallest") * rule.percent <= F.col("n") * 100)
+        & (F.col("size") * 100 >= F.col("n") * rule.percent)
+        & (F.col("size") * rule.percent <= F.col("n") * 100)
+        & ((F.col("n") + F.col("size")) * rule.percent <= (after + k) * (100 + rule.percent))
     )
-    # A group can stand in several rows of a token, one for each rank of its members; it is then counted too high.
-    return met.groupBy("id", "group").agg(F.count("*").alias("common"), F.min("n").alias("n")).filter(F.col("common") >= needed).select("id", "group")
+    # A group can stand in several rows of a token, one for each rank and size of its members; it is then counted too high.
+    common = met.groupBy("id", "group").agg(F.count("*").alias("common"), F.min(k).alias("needed"))
+    return common.filter(F.col("common") >= F.col("needed")).select("id", "group")
 
 
 def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -271,11 +279,12 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, rule))
     early, shape = _early(rule, frequent)
     sets = cut(docs.mapInArrow(early, shape), "sets")
+    # What follows from a set is the same in all rows of its class.
+    of_set = {"n": F.min("n"), "family": F.min("family")} | {f"low{i}": F.min(F.col("low")[i]) for i in range(len(_STARTS))}
     full = sets.filter("n > 0 and id is not null")
-    classes = cut(full.groupBy("class").agg(F.min("id").alias("rep")), "classes")
+    reps = cut(full.groupBy("class").agg(F.min("id").alias("id"), *(v.alias(k) for k, v in of_set.items())), "classes")
     # Joins with tables that grow with the documents are merged at every size, so that plan and
     # shuffle of a document stay alike as the table grows.
-    reps = full.join(classes.withColumnRenamed("rep", "id").hint("merge"), ["class", "id"], "left_semi")
 
     # Families, and the groups they are divided into. The groups of a family are numbered by the hash of the id.
     families = cut(
@@ -289,30 +298,37 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
         .withColumns({"rows": F.coalesce("rows", F.lit(1)), "groups": F.coalesce("groups", F.lit(1))})
         .withColumn("group", F.when(F.col("rows") == 1, F.col("id")).otherwise(F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("groups")))))
     )
-    member = cut(member.select("id", "n", "family", "rows", "groups", "group", "low", "early"), "members")
+    member = cut(member.select("class", "id", "n", "family", "rows", "groups", "group", *(f"low{i}" for i in range(len(_STARTS)))), "members")
     home = member.select("id", "group")
 
     # The members of a divided family visit the family's first group.
     divided = member.filter("groups > 1")
     hubs = cut(divided.groupBy("family").agg(F.min("group").alias("hub")), "hubs")
     to_hub = divided.join(hubs, "family").filter("group <> hub").select("id", F.col("hub").alias("group"))
-    # Classes that share one minimum visit the group of the smallest id among them.
-    minimum = member.select("id", "group", F.posexplode("low").alias("nth", "low"))
-    first = minimum.groupBy("nth", "low").agg(F.min(F.struct("id", "group")).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
-    to_first = minimum.join(first.hint("merge"), ["nth", "low"]).filter("group <> first.group").select("id", F.col("first.group").alias("group"))
+    # Classes that share one minimum visit the group of the smallest id among them, if a second one is equal and the sizes allow a link.
+    # 16 bits of each are compared: a frequent phrase alone sends nobody.
+    lows = [F.col(f"low{i}") for i in range(len(_STARTS))]
+    bits = F.array(*(x.bitwiseAND(0xFFFF) for x in lows))
+    minimum = member.select("id", "n", "group", bits.alias("bits"), F.posexplode(F.array(*lows)).alias("nth", "low"))
+    first = minimum.groupBy("nth", "low").agg(F.min(F.struct("id", "n", "group", "bits")).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    equal = sum((F.col("bits")[i] == F.col("first.bits")[i]).cast("int") for i in range(len(_STARTS)))
+    may = (F.greatest("n", "first.n") * rule.percent <= F.least("n", "first.n") * 100) & (equal > 1)
+    to_first = minimum.join(first.hint("merge"), ["nth", "low"]).filter("group <> first.group").filter(may).select("id", F.col("first.group").alias("group"))
     found = cut(links(docs, home, to_hub.union(to_first), rule), "links")
     joined = connected(found)
 
     # What is connected by now is one part. The parts go through the matrix, whose queries visit groups with members of other
     # parts only: a family of near copies does not meet itself pair by pair.
     labelled = member.join(joined.withColumnRenamed("node", "id").hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    labelled = cut(labelled.select("id", "n", "group", "component", "early"), "labelled")
-    parts = cut(labelled.groupBy("component").agg(F.count("*").alias("size")), "parts")
-    late = cut(visits_of(labelled.join(parts.hint("merge"), "component").withColumn("rank", F.struct("size", "component")), rule), "late")
+    labelled = cut(labelled.select("class", "id", "n", "group", "component"), "labelled")
+    parts = labelled.groupBy("component").agg(F.count("*").alias("size"))
+    ranked = labelled.join(parts.hint("merge"), "component").select("class", "id", "group", F.struct("size", "component").alias("rank"))
+    # The early tokens are fetched here, once, and not carried along.
+    late = cut(visits_of(full.select("class", "id", "n", "early").join(ranked.hint("merge"), ["class", "id"]), rule), "late")
     if not late.isEmpty():
         their = home.join(late.select("group").distinct(), "group", "left_semi").select("id", "group")
-        joined = connected(found.union(links(docs, their, late, rule, few=True)))
-    of_class = classes.join(joined, classes.rep == joined.node, "left").select("class", F.coalesce("component", "rep").alias("component"))
+        joined = connected(found.union(links(docs, their, late, rule)))
+    of_class = reps.join(joined, reps.id == joined.node, "left").select("class", F.coalesce("component", "id").alias("component"))
     out = sets.join(cut(of_class, "class-components"), "class", "left")
     own = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), own.alias("component_id"))

@@ -104,3 +104,61 @@ def test_links_of_near_copies_grow_with_their_number(spark, monkeypatch):
     got = jaccard_join.components(samples.documents(spark, texts), jaccard_join.Rule(5, 80)).collect()
     assert {r.component_id for r in got} == {0}
     assert max(made) < 6 * len(texts)
+
+
+def near_copies(count, edits, n=150):
+    """Copies of one text; each lacks words at places of its own and has new ones."""
+    rnd = random.Random(8)
+    for i in range(count):
+        own = samples.words(5, n, 3000).split()
+        for at in rnd.sample(range(5, n - 5), edits):
+            own[at] = f"x{i}w{at}"
+        yield " ".join(own)
+
+
+def test_near_copies_below_the_threshold_hardly_meet(spark, monkeypatch):
+    for name, value in (("SAMPLE", 2), ("FREQUENT", 3)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    met, of = [], jaccard_join.visits_of
+    monkeypatch.setattr(jaccard_join, "visits_of", lambda *args: met.append(of(*args)) or met[-1])
+    got = jaccard_join.components(samples.documents(spark, list(near_copies(200, 4)))).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+    assert met[0].count() < 200  # of 19900 pairs
+
+
+def test_a_phrase_alone_sends_nobody(spark, monkeypatch):
+    sent, links = [], jaccard_join.links
+    monkeypatch.setattr(jaccard_join, "links", lambda docs, members, visits, *args, **options: sent.append(visits.count()) or links(docs, members, visits, *args, **options))
+    texts = [f"{samples.words(900 + i, 80, 3000)} {samples.words(77, 20, 3000)}" for i in range(200)]
+    got = jaccard_join.components(samples.documents(spark, texts)).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+    assert sent[0] < 60  # some 100 share a minimum
+
+
+def test_early_tokens_are_not_carried_from_table_to_table(spark, monkeypatch):
+    kept, cut = {}, jaccard_join.cut
+    monkeypatch.setattr(jaccard_join, "cut", lambda df, name: kept.setdefault(name, df.columns) and cut(df, name))
+    jaccard_join.components(samples.documents(spark, list(family(1, 9, 60, 2))))
+    assert [name for name, columns in kept.items() if "early" in columns] == ["sets"]
+
+
+@pytest.mark.parametrize("k, percent", [(3, 90), (5, 80), (2, 60)])
+def test_the_matrix_loses_no_link(spark, k, percent):
+    rule, rnd, texts = jaccard_join.Rule(k, percent), random.Random(3), []
+    for n in (4, 12, 40, 50, 90, 300, 700):
+        base = samples.words(n, n, 3000).split()
+        for _ in range(20):
+            own = list(base)
+            for _ in range(rnd.randrange(1 + n * (100 - percent) // (150 * k))):
+                at = rnd.randrange(len(own))
+                own[at : at + rnd.choice((0, 1, 1, 2))] = rnd.choice(([], [f"e{rnd.randrange(10**6)}"]))
+                own = own or ["e"]
+            texts.append(" ".join(own).encode())
+    distinct = {s.tobytes(): s for s in jaccard_join.sets_of(texts, k)}.values()
+    sets = [(i, set(s.tolist()), [int(x) for x in s[: rule.early(len(s))].astype("int64")]) for i, s in enumerate(distinct)]
+    rows = [(i, len(s), i, (1, i), early) for i, s, early in sets]
+    members = spark.createDataFrame(rows, "id bigint, n bigint, `group` bigint, rank struct<size: bigint, component: bigint>, early array<bigint>")
+    found = {(r.id, r.group) for r in jaccard_join.visits_of(members, rule).collect()}
+    want = {(a, b) for a, s, _ in sets for b, t, _ in sets if a < b and rule.links(len(s & t), len(s), len(t)) and s & t}
+    assert len(want) > 50 and want <= found
+    assert len({len(s) - len(t) for a, s, _ in sets for b, t, _ in sets if (a, b) in want}) > 5
