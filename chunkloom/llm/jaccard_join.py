@@ -311,10 +311,11 @@ def components(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id",
     bits = F.array(*(x.bitwiseAND(0xFFFF) for x in lows))
     minimum = member.select("id", "n", "group", bits.alias("bits"), F.posexplode(F.array(*lows)).alias("nth", "low"))
     first = minimum.groupBy("nth", "low").agg(F.min(F.struct("id", "n", "group", "bits")).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    first = cut(first, "first")
     equal = sum((F.col("bits")[i] == F.col("first.bits")[i]).cast("int") for i in range(len(_STARTS)))
     may = (F.greatest("n", "first.n") * rule.percent <= F.least("n", "first.n") * 100) & (equal > 1)
     to_first = minimum.join(first.hint("merge"), ["nth", "low"]).filter("group <> first.group").filter(may).select("id", F.col("first.group").alias("group"))
-    found = cut(links(docs, home, to_hub.union(to_first), rule), "links")
+    found = cut(links(docs, home, cut(to_hub.union(to_first), "sent"), rule), "links")
     joined = connected(found)
 
     # What is connected by now is one part. The parts go through the matrix, whose queries visit groups with members of other
